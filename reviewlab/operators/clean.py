@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewlab.session import cut_lineage
 from reviewlab.functions.text import (
     EXCLUDED_CONDITIONS, HELPFUL_MARKER, clean_review, clean_text, condition_pattern,
     is_marker, upper_word_count, word_count,
@@ -120,7 +121,9 @@ def match_conditions(rows: DataFrame, conds: DataFrame, id_col: str = "id", text
     size is checked first.
     """
     spark = rows.sparkSession
-    c = conds.select(F.col(cond).alias("_c"), "first_id")
+    # the ordered condition list is small; materialise it once so the driver
+    # queries below do not recompute it from the full table
+    c = cut_lineage(conds.select(F.col(cond).alias("_c"), "first_id"))
     regular = c.where(F.col("_c").rlike("^[a-z](.*[a-z])?$")).withColumn(
         "_runs", F.size(F.regexp_extract_all("_c", F.lit("[a-z]+"), 0)))
     irregular = c.where(~F.col("_c").rlike("^[a-z](.*[a-z])?$"))
@@ -153,9 +156,18 @@ def match_conditions(rows: DataFrame, conds: DataFrame, id_col: str = "id", text
 
 
 # ---------------------------------------------------------------- PIPE-1
-def clean_columns(df: DataFrame) -> DataFrame:
-    """FLT-1, STR-7, STR-8, STR-5, STR-6 in one projection."""
+def clean_columns(df: DataFrame, null_flag: str | None = None) -> DataFrame:
+    """FLT-1, STR-7, STR-8, STR-5, STR-6 in one projection.
+
+    With ``null_flag`` an extra boolean column says whether the cleaned row
+    holds a null.  It is computed from the raw columns (cleaning keeps nulls
+    and creates none, except the marker rule), so filters on it are pushed
+    below the text expressions and only the selected rows get cleaned.
+    """
     d = null_marker(df)
+    out = [*df.columns, "word_count", "upper_count"]
+    if null_flag:
+        out.append(null_flag)
     return d.select(
         *[c for c in d.columns if c not in ("review", "condition", "drugName")],
         clean_text(F.col("drugName")).alias("drugName"),
@@ -163,36 +175,43 @@ def clean_columns(df: DataFrame) -> DataFrame:
         clean_review(F.col("review")).alias("review"),
         word_count(F.col("review")).alias("word_count"),
         upper_word_count(F.col("review")).alias("upper_count"),
-    ).select(*df.columns, "word_count", "upper_count")
+        *([any_null(d).alias(null_flag)] if null_flag else []),
+    ).select(*out)
 
 
 def clean_data(df: DataFrame, dedupe_reviews: bool = False, with_counts: bool = False):
     """PIPE-1: clean, impute ``condition`` by drug then by text, drop null rows.
 
-    Returns the cleaned DataFrame (and, with ``with_counts``, a one-row
-    DataFrame of null-row counts before/after each imputation step).
+    Plan shape: two narrow scans (id, drugName, condition) build the small
+    drug lookup and the ordered condition list; one scan of the rows that
+    still hold a null feeds the text match; the final scan cleans every row
+    once and joins the two small results.  Returns the cleaned DataFrame (and,
+    with ``with_counts``, null-row counts before/after each step).
     """
-    d = clean_columns(df)
-    flag = any_null(d)
-    complete = d.where(~flag)
-    holes = d.where(flag)
-    by_drug = impute_by_key(holes, drug_lookup(d))
-    after_drug = complete.unionByName(by_drug)
-    still = by_drug.where(any_null(by_drug))
-    matched = match_conditions(still.select("id", "review"), condition_order(after_drug))
-    fixed = (still.join(matched.withColumnRenamed("condition", "_m"), "id", "left")
-             .withColumn("condition", F.coalesce(F.col("_m"), F.col("condition"))).drop("_m")
-             .select(*d.columns))
-    resolved = by_drug.where(~any_null(by_drug)).unionByName(fixed)
-    out = drop_null_rows(complete.unionByName(resolved))
+    d = clean_columns(df, null_flag="_nul")
+    cols = [c for c in d.columns if c != "_nul"]
+    lookup = drug_lookup(d.select("id", "drugName", "condition"))
+    lk = lookup.select(F.col("drugName").alias("_k"), F.col("condition").alias("_lk"))
+    d2 = (d.join(lk, F.col("drugName") == F.col("_k"), "left")
+          .withColumn("condition", F.when(F.col("_nul"), F.col("_lk")).otherwise(F.col("condition")))
+          .drop("_k", "_lk"))
+    # after the drug step only ``condition`` can have changed, so the row still
+    # holds a null iff it had one before and the looked-up condition is null
+    # or some other column is null
+    others = [c for c in cols if c != "condition"]
+    d2 = d2.withColumn("_nul", F.col("_nul") & (F.col("condition").isNull() | any_null(d2, others)))
+    still = d2.where(F.col("_nul")).select("id", "review")
+    matched = match_conditions(still, condition_order(d2.select("id", "condition")))
+    fixed = (d2.join(matched.withColumnRenamed("condition", "_m"), "id", "left")
+             .withColumn("condition", F.when(F.col("_nul"), F.coalesce(F.col("_m"), F.col("condition")))
+                         .otherwise(F.col("condition"))))
+    out = drop_null_rows(fixed.select(*cols))
     if dedupe_reviews:
         out = keep_first(out, ["review"])
     if not with_counts:
         return out
-    spark = d.sparkSession
-    counts = (d.agg(F.lit("before").alias("step"), F.count_if(flag).alias("null_rows"))
-              .unionByName(by_drug.agg(F.lit("after_drug").alias("step"),
-                                       F.count_if(any_null(by_drug)).alias("null_rows")))
+    counts = (d.agg(F.lit("before").alias("step"), F.count_if("_nul").alias("null_rows"))
+              .unionByName(d2.agg(F.lit("after_drug").alias("step"), F.count_if("_nul").alias("null_rows")))
               .unionByName(fixed.agg(F.lit("after_text").alias("step"),
-                                     F.count_if(any_null(fixed)).alias("null_rows"))))
+                                     F.count_if(any_null(fixed, cols)).alias("null_rows"))))
     return out, counts

@@ -49,3 +49,49 @@ def first_appearance(df: DataFrame, value: str, order: str = "id", out: str = "f
 def first_appearance_ordinal(df: DataFrame, value: str, order: str = "id", out: str = "ordinal") -> DataFrame:
     """WIN-6: 0-based ordinal of each distinct value in order of first appearance."""
     return ordered_index(first_appearance(df, value, order), ["first_id", value], out=out)
+
+
+def running_sums(df: DataFrame, order_cols, sum_cols, ascending: bool = True,
+                 prefix: str = "cum_", index_col: str = "pos") -> DataFrame:
+    """Inclusive running sums of ``sum_cols`` in ``order_cols`` order, plus the
+    global 0-based position, computed in parallel.
+
+    The rows are range partitioned and sorted, checkpointed, summed inside
+    each partition with ``mapInPandas`` (no shuffle), and shifted by the totals
+    of the preceding partitions (a table with one row per partition).
+    """
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    sum_cols = [sum_cols] if isinstance(sum_cols, str) else list(sum_cols)
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c).asc() if ascending else F.col(c).desc() for c in order_cols]
+    ranged = cut_lineage(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                         .withColumn("_mid", F.monotonically_increasing_id()))
+    pid = F.shiftright(F.col("_mid"), 33)
+    tot = ranged.groupBy(pid.alias("_pid")).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_on"),
+                      *[F.coalesce(F.sum(f"_t_{c}").over(w), F.lit(0)).alias(f"_o_{c}") for c in sum_cols])
+    schema = T.StructType(list(ranged.schema.fields) + [T.StructField(f"_l_{c}", T.DoubleType()) for c in sum_cols])
+
+    def local(batches):
+        acc = {c: 0.0 for c in sum_cols}
+        for pdf in batches:
+            for c in sum_cols:
+                v = pdf[c].astype("float64").fillna(0.0).to_numpy()
+                cs = np.cumsum(v) + acc[c]
+                acc[c] = float(cs[-1]) if len(cs) else acc[c]
+                pdf[f"_l_{c}"] = cs
+            yield pdf
+
+    loc = ranged.mapInPandas(local, schema)
+    out = (loc.withColumn("_pid", pid).join(F.broadcast(offs), "_pid")
+           .withColumn(index_col, (F.col("_on") + F.col("_mid").bitwiseAND(F.lit(_LOW33))).cast("bigint")))
+    for c in sum_cols:
+        out = out.withColumn(f"{prefix}{c}", F.col(f"_l_{c}") + F.col(f"_o_{c}"))
+    return out.drop("_pid", "_on", "_mid", *[f"_l_{c}" for c in sum_cols], *[f"_o_{c}" for c in sum_cols])

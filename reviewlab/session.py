@@ -21,6 +21,7 @@ def get_spark(master: str | None = None, app: str = "reviewlab",
         b = b.master(master or f"local[{cpus}]")
     parts = shuffle_partitions or int(cpus)
     b = (b.config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(parts))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -59,3 +60,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that arrives in fewer partitions than the cluster has
+    cores (a single-row-group file, for instance) before CPU-heavy work.
+
+    Large inputs already arrive in many splits, so on a cluster this adds no
+    shuffle; it only matters for small, unsplittable files.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlab.session import ensure_parallelism
 from reviewlab.sources.io import read_table
 
 HELPFUL_TEXT = "3 users found this comment helpful."
@@ -38,7 +39,7 @@ FROM events"""
 def reviews_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    d = docs.join(labels, "doc_id", "left")
+    d = ensure_parallelism(docs).join(labels, "doc_id", "left")
     cond = (F.when(F.col("doc_id") % 17 == 0, F.lit(None).cast("string"))
             .when(F.col("doc_id") % 29 == 0, F.lit(HELPFUL_TEXT))
             .otherwise(F.col("lang")))
