@@ -26,8 +26,9 @@ def register(name: str, sql: str | None = None):
 
 def rnd(c, digits: int = DIGITS) -> Column:
     """Round a double for cross-engine comparison."""
-    return F.round((F.col(c) if isinstance(c, str) else c).cast("double"), digits)
+    # "+ 0.0" turns a rounded -0.0 into 0.0 so both engines print the same value
+    return F.round((F.col(c) if isinstance(c, str) else c).cast("double"), digits) + F.lit(0.0)
 
 
 def r_sql(expr: str, digits: int = DIGITS) -> str:
-    return f"ROUND(CAST({expr} AS DOUBLE), {digits})"
+    return f"(ROUND(CAST({expr} AS DOUBLE), {digits}) + 0.0)"
