@@ -1,4 +1,4 @@
 """Imports every query module so the registry is complete."""
 
-from reviewlab.plans import cleaning, evaluation, features, statistics  # noqa: F401
+from reviewlab.plans import cleaning, evaluation, features, neighbours, statistics  # noqa: F401
 from reviewlab.plans.registry import ORACLE, QUERIES  # noqa: F401

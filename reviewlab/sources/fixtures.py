@@ -119,3 +119,24 @@ def split_bucket(id_col: str = "id") -> F.Column:
 
 def split_bucket_sql(id_col: str = "id") -> str:
     return f"(('0x' || substr(md5(CAST({id_col} AS VARCHAR)), 1, 8))::BIGINT % 5)"
+
+
+def features_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents as z-scored features (word_count, upper_count, useful) + label."""
+    from reviewlab.functions.text import upper_word_count, word_count
+    from reviewlab.operators.features import standardize
+    d = ensure_parallelism(labelled_docs(spark, sf_dir))
+    f = d.select(F.col("doc_id").alias("id"), word_count(F.col("text")).alias("word_count"),
+                 upper_word_count(F.col("text")).alias("upper_count"),
+                 F.col("n_chars").cast("double").alias("useful"), F.col("quality").cast("int").alias("label"))
+    return standardize(f, ["word_count", "upper_count", "useful"], ddof=1)
+
+
+def features_doc_sql() -> str:
+    from reviewlab.plans.sqltext import upper_count_sql, word_count_sql
+    return f"""SELECT id, (wc - avg(wc) OVER ()) / stddev_samp(wc) OVER () AS word_count,
+  (uc - avg(uc) OVER ()) / stddev_samp(uc) OVER () AS upper_count,
+  (nc - avg(nc) OVER ()) / stddev_samp(nc) OVER () AS useful, label
+FROM (SELECT d.doc_id AS id, {word_count_sql('d.text')} AS wc, {upper_count_sql('d.text')} AS uc,
+             CAST(d.n_chars AS DOUBLE) AS nc, CAST(l.quality AS INTEGER) AS label
+      FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
