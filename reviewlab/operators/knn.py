@@ -73,12 +73,13 @@ def _exact(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
 
 
 def _tiles(queries: DataFrame, refs: DataFrame, q_id: str, r_id: str, q_vec: str, r_vec: str,
-           block_rows: int):
+           block_rows: int, r_label: str | None = None):
     nq, nr = queries.count(), refs.count()
     bq = max(1, math.ceil(nq / block_rows))
     br = max(1, math.ceil(nr / block_rows))
     q = queries.select(F.col(q_id).cast("bigint").alias("qid"), F.col(q_vec).cast("array<double>").alias("qv"))
-    r = refs.select(F.col(r_id).cast("bigint").alias("rid"), F.col(r_vec).cast("array<double>").alias("rv"))
+    r = refs.select(F.col(r_id).cast("bigint").alias("rid"), F.col(r_vec).cast("array<double>").alias("rv"),
+                    *([F.col(r_label).cast("bigint").alias("rlabel")] if r_label else []))
     qx = (q.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(bq)))
           .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(br - 1)))))
     rx = (r.withColumn("rb", F.pmod(F.xxhash64("rid"), F.lit(br)))
@@ -142,3 +143,34 @@ def knn_predict(neigh: DataFrame, rlabels: DataFrame, weights: str = "uniform",
                                 F.sum("w").alias("wt"))
     return agg.select("qid", (F.col("w1") / F.col("wt")).alias("probability"),
                       (F.col("w1") > F.col("wt") - F.col("w1")).cast("int").alias("prediction"))
+
+
+def _tile_cluster_sums(key, qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
+    empty = pd.DataFrame({"qid": pd.Series([], dtype="int64"), "cluster": pd.Series([], dtype="int64"),
+                          "dsum": pd.Series([], dtype="float64"), "cnt": pd.Series([], dtype="int64")})
+    if len(qp) == 0 or len(rp) == 0:
+        return empty
+    Q = np.stack(qp["qv"].to_numpy()).astype(np.float64)
+    R = np.stack(rp["rv"].to_numpy()).astype(np.float64)
+    qids = qp["qid"].to_numpy().astype(np.int64)
+    labs = rp["rlabel"].to_numpy().astype(np.int64)
+    outs = []
+    for lab in np.unique(labs):
+        Rl = R[labs == lab]
+        for s in range(0, len(Q), _CHUNK):
+            Qc = Q[s:s + _CHUNK]
+            diff = Qc[:, None, :] - Rl[None, :, :]
+            D = np.sqrt((diff * diff).sum(axis=2))
+            outs.append(pd.DataFrame({"qid": qids[s:s + _CHUNK], "cluster": lab, "dsum": D.sum(axis=1),
+                                      "cnt": np.full(len(Qc), len(Rl), dtype=np.int64)}))
+    return pd.concat(outs, ignore_index=True)
+
+
+def cluster_distance_sums(points: DataFrame, label: str = "cluster", id_col: str = "id", vec: str = "v",
+                          block_rows: int = 1024) -> DataFrame:
+    """(qid, cluster, dsum, cnt): sum of distances from each point to the points
+    of each cluster (itself included, at distance 0).  Tiles emit one row per
+    (point, cluster) present in the tile, never the pairs."""
+    g = _tiles(points, points, id_col, id_col, vec, vec, block_rows, r_label=label)
+    sums = g.applyInPandas(_tile_cluster_sums, "qid long, cluster long, dsum double, cnt long")
+    return sums.groupBy("qid", "cluster").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
