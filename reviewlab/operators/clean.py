@@ -179,33 +179,49 @@ def clean_columns(df: DataFrame, null_flag: str | None = None) -> DataFrame:
     ).select(*out)
 
 
-def clean_data(df: DataFrame, dedupe_reviews: bool = False, with_counts: bool = False):
-    """PIPE-1: clean, impute ``condition`` by drug then by text, drop null rows.
+def impute_conditions(d: DataFrame, flag: str = "_nul") -> DataFrame:
+    """JN-2 then JN-3 then FLT-3 on a table carrying a boolean null flag.
 
     Plan shape: two narrow scans (id, drugName, condition) build the small
     drug lookup and the ordered condition list; one scan of the rows that
-    still hold a null feeds the text match; the final scan cleans every row
-    once and joins the two small results.  Returns the cleaned DataFrame (and,
-    with ``with_counts``, null-row counts before/after each step).
+    still hold a null feeds the text match; the final scan joins the two
+    small results.
     """
-    d = clean_columns(df, null_flag="_nul")
-    cols = [c for c in d.columns if c != "_nul"]
+    cols = [c for c in d.columns if c != flag]
     lookup = drug_lookup(d.select("id", "drugName", "condition"))
     lk = lookup.select(F.col("drugName").alias("_k"), F.col("condition").alias("_lk"))
     d2 = (d.join(lk, F.col("drugName") == F.col("_k"), "left")
-          .withColumn("condition", F.when(F.col("_nul"), F.col("_lk")).otherwise(F.col("condition")))
+          .withColumn("condition", F.when(F.col(flag), F.col("_lk")).otherwise(F.col("condition")))
           .drop("_k", "_lk"))
     # after the drug step only ``condition`` can have changed, so the row still
     # holds a null iff it had one before and the looked-up condition is null
     # or some other column is null
     others = [c for c in cols if c != "condition"]
-    d2 = d2.withColumn("_nul", F.col("_nul") & (F.col("condition").isNull() | any_null(d2, others)))
-    still = d2.where(F.col("_nul")).select("id", "review")
+    d2 = d2.withColumn(flag, F.col(flag) & (F.col("condition").isNull() | any_null(d2, others)))
+    still = d2.where(F.col(flag)).select("id", "review")
     matched = match_conditions(still, condition_order(d2.select("id", "condition")))
     fixed = (d2.join(matched.withColumnRenamed("condition", "_m"), "id", "left")
-             .withColumn("condition", F.when(F.col("_nul"), F.coalesce(F.col("_m"), F.col("condition")))
+             .withColumn("condition", F.when(F.col(flag), F.coalesce(F.col("_m"), F.col("condition")))
                          .otherwise(F.col("condition"))))
-    out = drop_null_rows(fixed.select(*cols))
+    return fixed.select(*cols), d2
+
+
+def raw_with_flag(df: DataFrame, flag: str = "_nul") -> DataFrame:
+    """FLT-1 on raw rows plus the null flag (no text cleaning)."""
+    d = null_marker(df)
+    return d.withColumn(flag, any_null(d))
+
+
+def clean_data(df: DataFrame, dedupe_reviews: bool = False, with_counts: bool = False):
+    """PIPE-1: clean, impute ``condition`` by drug then by text, drop null rows.
+
+    Returns the cleaned DataFrame (and, with ``with_counts``, null-row counts
+    before/after each step).
+    """
+    d = clean_columns(df, null_flag="_nul")
+    cols = [c for c in d.columns if c != "_nul"]
+    fixed, d2 = impute_conditions(d, "_nul")
+    out = drop_null_rows(fixed)
     if dedupe_reviews:
         out = keep_first(out, ["review"])
     if not with_counts:

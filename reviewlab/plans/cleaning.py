@@ -24,25 +24,38 @@ c AS (SELECT id, {clean_text_sql('drugName')} AS drugName,
         {word_count_sql('review')} AS word_count, {upper_count_sql('review')} AS upper_count
       FROM raw)
 """
-DRUG_CTE = CLEAN_CTE + f""",
+
+
+def imputation_ctes(src: str, cols: list[str]) -> tuple[str, str]:
+    """SQL twins of JN-2 (``d2``) and JN-3 (``still``, ``conds``, ``m``, ``d3``) over CTE ``src``."""
+    nul = " OR ".join(f"{src}.{x} IS NULL" for x in cols)
+    rest = ", ".join(f"{src}.{x}" for x in cols if x not in ("id", "drugName", "condition"))
+    drug = f""",
 lk AS (SELECT drugName, condition FROM (SELECT drugName, condition,
-         row_number() OVER (PARTITION BY drugName ORDER BY id) rn FROM c WHERE drugName IS NOT NULL) WHERE rn = 1),
-d2 AS (SELECT c.id, c.drugName,
-         CASE WHEN ({' OR '.join(f'c.{x} IS NULL' for x in COLS)}) THEN lk.condition ELSE c.condition END AS condition,
-         c.review, c.rating, c.usefulCount, c.word_count, c.upper_count
-       FROM c LEFT JOIN lk ON c.drugName = lk.drugName)
+         row_number() OVER (PARTITION BY drugName ORDER BY id) rn FROM {src} WHERE drugName IS NOT NULL) WHERE rn = 1),
+d2 AS (SELECT {src}.id, {src}.drugName,
+         CASE WHEN ({nul}) THEN lk.condition ELSE {src}.condition END AS condition, {rest}
+       FROM {src} LEFT JOIN lk ON {src}.drugName = lk.drugName)
 """
-TEXT_CTE = DRUG_CTE + f""",
-still AS (SELECT * FROM d2 WHERE {NULL_ANY}),
+    any2 = " OR ".join(f"{x} IS NULL" for x in cols)
+    rest2 = ", ".join(f"d2.{x}" for x in cols if x not in ("id", "drugName", "condition"))
+    text = f""",
+still AS (SELECT * FROM d2 WHERE {any2}),
 conds AS (SELECT condition, min(id) AS first_id FROM d2 WHERE condition IS NOT NULL
           GROUP BY condition HAVING condition NOT IN ('eve', 'me')),
 m AS (SELECT id, condition FROM (
         SELECT s.id, k.condition, row_number() OVER (PARTITION BY s.id ORDER BY k.first_id DESC) rn
         FROM still s JOIN conds k
           ON regexp_matches(s.review, '[^a-z]\\Q' || k.condition || '\\E[^a-z|s]')) WHERE rn = 1),
-d3 AS (SELECT d2.id, d2.drugName, coalesce(m.condition, d2.condition) AS condition, d2.review, d2.rating,
-         d2.usefulCount, d2.word_count, d2.upper_count FROM d2 LEFT JOIN m ON d2.id = m.id)
+d3 AS (SELECT d2.id, d2.drugName, coalesce(m.condition, d2.condition) AS condition, {rest2}
+       FROM d2 LEFT JOIN m ON d2.id = m.id)
 """
+    return drug, text
+
+
+_DRUG, _TEXT = imputation_ctes("c", COLS)
+DRUG_CTE = CLEAN_CTE + _DRUG
+TEXT_CTE = DRUG_CTE + _TEXT
 
 
 def _cleaned(spark, sf):

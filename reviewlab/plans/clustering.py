@@ -132,3 +132,46 @@ def emb_dbscan_summary(spark, sf):
 def emb_kmeans_sweep(spark, sf):
     """CLU-1: MLlib K-Means for k = 3..13 with inertia and exact silhouette (rows-only)."""
     return cu.kmeans_sweep(vectors_emb(spark, sf), range(3, 14))
+
+
+OUT_DIMS, OUT_EPS, OUT_MIN = 8, 0.30, 4
+
+
+def _out_sql() -> str:
+    from reviewlab.sources.fixtures import points_emb_sql
+    xs = [f"x{i + 1}" for i in range(OUT_DIMS)]
+    sc = ", ".join(f"({x} - min({x}) OVER ()) / (max({x}) OVER () - min({x}) OVER ()) AS {x}" for x in xs)
+    return f"""WITH RECURSIVE p AS ({points_emb_sql(OUT_DIMS)}),
+e AS (SELECT id, list_value({', '.join(xs)}) AS v FROM (SELECT id, {sc} FROM p)),
+d AS (SELECT x.id AS a, y.id AS b, list_distance(x.v, y.v) AS dist FROM e x, e y),
+core AS (SELECT a AS id, dist AS core FROM (
+           SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(dist, 9), b) AS rn FROM d) WHERE rn = {OUT_MIN}),
+ed AS (SELECT d.a, d.b FROM d JOIN core ca ON d.a = ca.id JOIN core cb ON d.b = cb.id
+       WHERE d.a <> d.b AND greatest(d.dist, ca.core, cb.core) <= {OUT_EPS}),
+reach(id, r) AS (SELECT id, id FROM e UNION SELECT reach.id, ed.b FROM reach JOIN ed ON reach.r = ed.a),
+comp AS (SELECT id, min(r) AS component FROM reach GROUP BY id),
+sz AS (SELECT component, count(*) AS n FROM comp GROUP BY component),
+num AS (SELECT component, dense_rank() OVER (ORDER BY component) - 1 AS cl FROM sz WHERE n >= {OUT_MIN}),
+lab AS (SELECT comp.id, CAST(coalesce(num.cl, -1) AS INTEGER) AS cluster FROM comp LEFT JOIN num ON comp.component = num.component)
+"""
+
+
+def _out_labels(spark, sf):
+    from reviewlab.operators.outliers import density_labels
+    from reviewlab.sources.fixtures import points_emb
+    p = points_emb(spark, sf, OUT_DIMS)
+    return density_labels(p, [f"x{i + 1}" for i in range(OUT_DIMS)], OUT_EPS, OUT_MIN)
+
+
+@register("emb_outlier_labels", _out_sql() + "SELECT id, cluster FROM lab")
+def emb_outlier_labels(spark, sf):
+    """OUT-1: density labels on min-max scaled rows (-1 = outlier)."""
+    return _out_labels(spark, sf)
+
+
+@register("emb_outlier_counts", _out_sql() + """
+SELECT count(*) AS rows_before, count(*) FILTER (WHERE cluster <> -1) AS rows_after FROM lab""")
+def emb_outlier_counts(spark, sf):
+    """OUT-1: shape before and after dropping the outliers (MTH-2 inside)."""
+    return _out_labels(spark, sf).agg(F.count(F.lit(1)).alias("rows_before"),
+                                      F.count_if(F.col("cluster") != -1).alias("rows_after"))
