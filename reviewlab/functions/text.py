@@ -65,7 +65,13 @@ def clean_text(c) -> Column:
 def word_count(c) -> Column:
     """STR-7: ``len(str(x).split())``; a null counts as one word ('nan')."""
     c = _c(c)
-    return F.when(c.isNull(), F.lit(1)).otherwise(F.regexp_count(c, F.lit(NON_WS_RUN))).cast("int")
+    # pieces between whitespace runs, less the empty piece a leading or
+    # trailing run leaves; an all-whitespace (or empty) text has no words
+    pieces = F.size(F.split(c, WS_RUN))
+    one = "^" + WS_CLASS + "$"
+    edges = F.substring(c, 1, 1).rlike(one).cast("int") + F.substring(c, -1, 1).rlike(one).cast("int")
+    n = F.when(c.rlike("^" + WS_CLASS + "*$"), F.lit(0)).otherwise(pieces - edges)
+    return F.when(c.isNull(), F.lit(1)).otherwise(n).cast("int")
 
 
 def tokens(c) -> Column:

@@ -127,7 +127,11 @@ def match_conditions(rows: DataFrame, conds: DataFrame, id_col: str = "id", text
     regular = c.where(F.col("_c").rlike("^[a-z](.*[a-z])?$")).withColumn(
         "_runs", F.size(F.regexp_extract_all("_c", F.lit("[a-z]+"), 0)))
     irregular = c.where(~F.col("_c").rlike("^[a-z](.*[a-z])?$"))
-    run_counts = sorted(r["_runs"] for r in regular.select("_runs").distinct().collect())
+    shape = (c.withColumn("_reg", F.col("_c").rlike("^[a-z](.*[a-z])?$"))
+             .groupBy("_reg").agg(F.collect_set(F.size(F.regexp_extract_all("_c", F.lit("[a-z]+"), 0))).alias("runs"),
+                                  F.count(F.lit(1)).alias("n")).collect())  # at most two rows
+    run_counts = sorted(next((r["runs"] for r in shape if r["_reg"]), []))
+    n_irr = next((r["n"] for r in shape if not r["_reg"]), 0)
 
     parts = []
     if run_counts:
@@ -144,7 +148,6 @@ def match_conditions(rows: DataFrame, conds: DataFrame, id_col: str = "id", text
         all_cands = F.array_distinct(F.flatten(F.array(*per_t))) if len(per_t) > 1 else F.array_distinct(per_t[0])
         exploded = toks.select(id_col, F.explode(all_cands).alias("_c"))
         parts.append(exploded.join(regular.select("_c", "first_id"), "_c"))
-    n_irr = irregular.count()
     if n_irr:
         irr = F.broadcast(irregular) if n_irr <= MAX_REGEX_CONDITIONS else irregular
         hit = rows.select(id_col, text).join(irr, F.col(text).rlike(condition_pattern(F.col("_c"))))
@@ -156,60 +159,76 @@ def match_conditions(rows: DataFrame, conds: DataFrame, id_col: str = "id", text
 
 
 # ---------------------------------------------------------------- PIPE-1
-def clean_columns(df: DataFrame, null_flag: str | None = None) -> DataFrame:
-    """FLT-1, STR-7, STR-8, STR-5, STR-6 in one projection.
+FLAG, FLAG_OTHER = "_nul", "_nul_other"
 
-    With ``null_flag`` an extra boolean column says whether the cleaned row
-    holds a null.  It is computed from the raw columns (cleaning keeps nulls
-    and creates none, except the marker rule), so filters on it are pushed
-    below the text expressions and only the selected rows get cleaned.
-    """
+
+def with_null_flags(df: DataFrame) -> DataFrame:
+    """FLT-1 on raw rows plus two flags from the raw columns: the row holds a
+    null (after the marker rule), and a column other than ``condition`` does.
+    Cleaning keeps nulls and creates none, so the flags hold for cleaned rows."""
     d = null_marker(df)
-    out = [*df.columns, "word_count", "upper_count"]
-    if null_flag:
-        out.append(null_flag)
+    return d.withColumns({FLAG: any_null(d, df.columns),
+                          FLAG_OTHER: any_null(d, [c for c in df.columns if c != "condition"])})
+
+
+def clean_projection(d: DataFrame, cols) -> DataFrame:
+    """STR-5/6/7/8 on an already marker-filtered frame; keeps extra columns."""
+    extra = [c for c in d.columns if c not in cols]
     return d.select(
-        *[c for c in d.columns if c not in ("review", "condition", "drugName")],
+        *[c for c in cols if c not in ("review", "condition", "drugName")],
         clean_text(F.col("drugName")).alias("drugName"),
         clean_text(F.col("condition")).alias("condition"),
         clean_review(F.col("review")).alias("review"),
         word_count(F.col("review")).alias("word_count"),
         upper_word_count(F.col("review")).alias("upper_count"),
-        *([any_null(d).alias(null_flag)] if null_flag else []),
-    ).select(*out)
-
+        *extra,
+    ).select(*cols, "word_count", "upper_count", *extra)
 
-def impute_conditions(d: DataFrame, flag: str = "_nul") -> DataFrame:
-    """JN-2 then JN-3 then FLT-3 on a table carrying a boolean null flag.
 
-    Plan shape: two narrow scans (id, drugName, condition) build the small
-    drug lookup and the ordered condition list; one scan of the rows that
-    still hold a null feeds the text match; the final scan joins the two
-    small results.
+def clean_columns(df: DataFrame, null_flag: str | None = None) -> DataFrame:
+    """FLT-1, STR-7, STR-8, STR-5, STR-6 in one projection (optionally with the
+    null flags)."""
+    d = with_null_flags(df)
+    out = clean_projection(d, df.columns)
+    return out if null_flag else out.drop(FLAG, FLAG_OTHER)
+
+
+def impute_conditions(df: DataFrame, clean: bool = True):
+    """JN-2 then JN-3 (before FLT-3) on raw rows; returns (rows, rows after
+    the drug step restricted to the rows that held a null).
+
+    Plan shape at scale: rows without a null are cleaned and stream straight
+    to the output - no join, no shuffle.  Only rows holding a null meet the
+    drug lookup (one row per drug) and the text match.  The lookup and the
+    ordered condition list are aggregates over the narrow columns
+    (id, drugName, condition); map-side partial aggregation absorbs hot keys.
     """
-    cols = [c for c in d.columns if c != flag]
-    lookup = drug_lookup(d.select("id", "drugName", "condition"))
+    cols = list(df.columns)
+    f = with_null_flags(df)
+    prep = (lambda x: clean_projection(x, cols)) if clean else (lambda x: x)
+    narrow = f.select("id", (clean_text(F.col("drugName")) if clean else F.col("drugName")).alias("drugName"),
+                      (clean_text(F.col("condition")) if clean else F.col("condition")).alias("condition"), FLAG)
+    lookup = drug_lookup(narrow)
+    holes = prep(f.where(F.col(FLAG)))
     lk = lookup.select(F.col("drugName").alias("_k"), F.col("condition").alias("_lk"))
-    d2 = (d.join(lk, F.col("drugName") == F.col("_k"), "left")
-          .withColumn("condition", F.when(F.col(flag), F.col("_lk")).otherwise(F.col("condition")))
-          .drop("_k", "_lk"))
-    # after the drug step only ``condition`` can have changed, so the row still
-    # holds a null iff it had one before and the looked-up condition is null
-    # or some other column is null
-    others = [c for c in cols if c != "condition"]
-    d2 = d2.withColumn(flag, F.col(flag) & (F.col("condition").isNull() | any_null(d2, others)))
-    still = d2.where(F.col(flag)).select("id", "review")
-    matched = match_conditions(still, condition_order(d2.select("id", "condition")))
-    fixed = (d2.join(matched.withColumnRenamed("condition", "_m"), "id", "left")
-             .withColumn("condition", F.when(F.col(flag), F.coalesce(F.col("_m"), F.col("condition")))
-                         .otherwise(F.col("condition"))))
-    return fixed.select(*cols), d2
-
-
-def raw_with_flag(df: DataFrame, flag: str = "_nul") -> DataFrame:
-    """FLT-1 on raw rows plus the null flag (no text cleaning)."""
-    d = null_marker(df)
-    return d.withColumn(flag, any_null(d))
+    holes2 = (holes.join(lk, F.col("drugName") == F.col("_k"), "left")
+              .withColumn("condition", F.col("_lk")).drop("_k", "_lk")
+              .withColumn(FLAG, F.col("condition").isNull() | F.col(FLAG_OTHER)))
+    after_drug = (narrow.where(~F.col(FLAG)).select("id", "condition")
+                  .unionByName(holes2.select("id", "condition")))
+    still = holes2.where(F.col(FLAG)).select("id", "review")
+    matched = match_conditions(still, condition_order(after_drug))
+    fixed = (holes2.join(matched.withColumnRenamed("condition", "_m"), "id", "left")
+             .withColumn("condition", F.coalesce(F.col("_m"), F.col("condition"))).drop("_m"))
+    out_cols = cols + (["word_count", "upper_count"] if clean else [])
+    complete = prep(f.where(~F.col(FLAG)))
+    rows = complete.select(*out_cols).unionByName(fixed.select(*out_cols))
+    return rows, holes2.select(*out_cols, FLAG)
+
+
+def raw_impute(df: DataFrame) -> DataFrame:
+    """ASC-5's imputation: no text cleaning, null rows dropped at the end."""
+    return drop_null_rows(impute_conditions(df, clean=False)[0])
 
 
 def clean_data(df: DataFrame, dedupe_reviews: bool = False, with_counts: bool = False):
@@ -218,16 +237,15 @@ def clean_data(df: DataFrame, dedupe_reviews: bool = False, with_counts: bool =
     Returns the cleaned DataFrame (and, with ``with_counts``, null-row counts
     before/after each step).
     """
-    d = clean_columns(df, null_flag="_nul")
-    cols = [c for c in d.columns if c != "_nul"]
-    fixed, d2 = impute_conditions(d, "_nul")
-    out = drop_null_rows(fixed)
+    rows, holes2 = impute_conditions(df, clean=True)
+    out = drop_null_rows(rows)
     if dedupe_reviews:
         out = keep_first(out, ["review"])
     if not with_counts:
         return out
-    counts = (d.agg(F.lit("before").alias("step"), F.count_if("_nul").alias("null_rows"))
-              .unionByName(d2.agg(F.lit("after_drug").alias("step"), F.count_if("_nul").alias("null_rows")))
-              .unionByName(fixed.agg(F.lit("after_text").alias("step"),
-                                     F.count_if(any_null(fixed, cols)).alias("null_rows"))))
+    f = with_null_flags(df)
+    counts = (f.agg(F.lit("before").alias("step"), F.count_if(FLAG).alias("null_rows"))
+              .unionByName(holes2.agg(F.lit("after_drug").alias("step"), F.count_if(FLAG).alias("null_rows")))
+              .unionByName(rows.agg(F.lit("after_text").alias("step"),
+                                    F.count_if(any_null(rows)).alias("null_rows"))))
     return out, counts

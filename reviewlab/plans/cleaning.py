@@ -94,10 +94,10 @@ def doc_drug_lookup(spark, sf):
 @register("doc_impute_by_drug", DRUG_CTE + "SELECT id, drugName, condition FROM d2")
 def doc_impute_by_drug(spark, sf):
     """JN-2 + JN-5: rows with a null take their drug's first condition; keyed write-back."""
+    raw = reviews_doc(spark, sf)
     d = _cleaned(spark, sf)
-    flag = cl.any_null(d)
-    changed = cl.impute_by_key(d.where(flag), cl.drug_lookup(d))
-    return cl.upsert(d, changed).select("id", "drugName", "condition")
+    _, holes2 = cl.impute_conditions(raw)
+    return cl.upsert(d, holes2.select(*d.columns)).select("id", "drugName", "condition")
 
 
 @register("doc_condition_order", DRUG_CTE + """
@@ -106,9 +106,10 @@ SELECT condition, CAST(dense_rank() OVER (ORDER BY first_id, condition) - 1 AS B
   HAVING condition NOT IN ('eve', 'me'))""")
 def doc_condition_order(spark, sf):
     """FLT-4, FLT-6, WIN-6: known conditions in first-appearance order."""
+    raw = reviews_doc(spark, sf)
     d = _cleaned(spark, sf)
-    flag = cl.any_null(d)
-    d2 = cl.upsert(d, cl.impute_by_key(d.where(flag), cl.drug_lookup(d)))
+    _, holes2 = cl.impute_conditions(raw)
+    d2 = cl.upsert(d, holes2.select(*d.columns))
     known = cl.exclude_values(cl.distinct_values(d2, "condition"), "condition")
     fa = first_appearance_ordinal(d2.join(known, "condition", "left_semi"), "condition")
     return fa.select("condition", "ordinal")
@@ -117,11 +118,11 @@ def doc_condition_order(spark, sf):
 @register("doc_text_match", TEXT_CTE + "SELECT id, condition FROM m")
 def doc_text_match(spark, sf):
     """JN-3, STR-10: still-null rows take the last known condition found in their text."""
+    raw = reviews_doc(spark, sf)
     d = _cleaned(spark, sf)
-    flag = cl.any_null(d)
-    by_drug = cl.impute_by_key(d.where(flag), cl.drug_lookup(d))
-    after = d.where(~flag).unionByName(by_drug)
-    still = by_drug.where(cl.any_null(by_drug))
+    _, holes2 = cl.impute_conditions(raw)
+    after = cl.upsert(d, holes2.select(*d.columns))
+    still = holes2.where(F.col(cl.FLAG))
     return cl.match_conditions(still.select("id", "review"), cl.condition_order(after))
 
 

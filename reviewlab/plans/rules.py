@@ -96,8 +96,8 @@ def doc_category_dims(spark, sf):
 @register("doc_decoded", DIMS_CTE + "SELECT id, drugName, condition FROM kept")
 def doc_decoded(spark, sf):
     """ENC-1 then JN-4: codes back to names through the dimensions."""
-    from reviewlab.operators.clean import drop_null_rows, impute_conditions, raw_with_flag
-    kept = drop_null_rows(impute_conditions(raw_with_flag(reviews_doc(spark, sf)))[0])
+    from reviewlab.operators.clean import raw_impute
+    kept = raw_impute(reviews_doc(spark, sf))
     dcodes, ccodes = fit_label_codes(kept, "drugName"), fit_label_codes(kept, "condition")
     coded = apply_label_codes(apply_label_codes(kept, "drugName", dcodes), "condition", ccodes)
     out = decode(coded, "drugName", dcodes, "_code", "drugName")
