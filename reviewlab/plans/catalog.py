@@ -1,4 +1,4 @@
 """Imports every query module so the registry is complete."""
 
-from reviewlab.plans import cleaning, clustering, evaluation, features, neighbours, rules, statistics  # noqa: F401
+from reviewlab.plans import cleaning, clustering, evaluation, features, models, neighbours, rules, statistics  # noqa: F401
 from reviewlab.plans.registry import ORACLE, QUERIES  # noqa: F401
