@@ -98,7 +98,7 @@ def doc_logistic(spark, sf):
 def doc_svm(spark, sf):
     """CLS-7: linear / polynomial / RBF-feature SVMs compared; linear returned."""
     train, test = _split(spark, sf)
-    scored, _ = cf.svm(train, test, FEATS, kernels=("linear", "rbf"))
+    scored, _ = cf.svm(train, test, FEATS, kernels=("linear", "rbf"), max_iter=10)
     return _report(spark, "svm_linear", scored)
 
 
