@@ -155,3 +155,41 @@ def doc_semi_join(spark, sf):
     """JN-1: rows whose drug is in a key list."""
     d = _cleaned(spark, sf)
     return cl.semi_join(d.select("id", "drugName"), d.where(F.col("condition") == "en"), "drugName")
+
+
+def _feature_sql() -> str:
+    from reviewlab.operators.sentiment import DEFAULT_LEXICON
+    from reviewlab.plans.registry import r_sql
+    lex = "lex(w, v) AS (VALUES " + ", ".join(f"('{k}', {v})" for k, v in DEFAULT_LEXICON.items()) + ")"
+    return TEXT_CTE + f""",
+cl AS (SELECT * FROM d3 WHERE {NULL_NONE}),
+s AS (SELECT avg(word_count) mw, stddev_samp(word_count) sw, avg(upper_count) mu, stddev_samp(upper_count) su,
+             avg(usefulCount) mc, stddev_samp(usefulCount) sc FROM cl),
+enc AS (SELECT cl.*, CAST(dense_rank() OVER (ORDER BY drugName) - 1 AS INTEGER) AS dcode,
+               CAST(dense_rank() OVER (ORDER BY condition) - 1 AS INTEGER) AS ccode FROM cl),
+g AS (SELECT dcode, avg(usefulCount) AS a, count(*) AS n FROM enc GROUP BY dcode),
+t AS (SELECT sum(n * n) / sum(n) AS avg_n FROM g),
+{lex},
+tk AS (SELECT id, unnest({tokens_sql('lower(review)')}) AS w FROM cl),
+sc2 AS (SELECT tk.id, sum(lex.v) AS sv FROM tk JOIN lex ON tk.w = lex.w GROUP BY tk.id),
+sent AS (SELECT enc.id, CAST(CASE WHEN coalesce(sc2.sv, 0) > 0 THEN 2 WHEN coalesce(sc2.sv, 0) < 0 THEN 0 ELSE 1 END AS INTEGER) AS sentiment
+         FROM enc LEFT JOIN sc2 ON enc.id = sc2.id)
+SELECT enc.id, enc.dcode AS drugName, enc.ccode AS condition, enc.rating,
+       {r_sql('(enc.word_count - s.mw) / s.sw')} AS word_count, {r_sql('(enc.upper_count - s.mu) / s.su')} AS upper_count,
+       CAST(enc.usefulCount > g.a AS INTEGER) AS reviewQuality,
+       {r_sql('(enc.usefulCount - s.mc) / s.sc')} AS usefulStandardized,
+       CAST(g.n > t.avg_n AS INTEGER) AS reviewFrequency, sent.sentiment,
+       CAST(sent.sentiment = 1 AS INTEGER) AS dummy_sentiment_1, CAST(sent.sentiment = 2 AS INTEGER) AS dummy_sentiment_2
+FROM enc JOIN g ON enc.dcode = g.dcode JOIN sent ON enc.id = sent.id, s, t"""
+
+
+@register("doc_feature_engineering", _feature_sql())
+def doc_feature_engineering(spark, sf):
+    """PIPE-2 on PIPE-1's output: codes, z-scores, quality/frequency flags, sentiment, dummies."""
+    from reviewlab.operators.features import feature_engineering
+    from reviewlab.plans.registry import rnd
+    d = feature_engineering(cl.clean_data(reviews_doc(spark, sf)), categorical=("drugName", "condition"))
+    return d.select("id", "drugName", "condition", "rating", rnd("word_count").alias("word_count"),
+                    rnd("upper_count").alias("upper_count"), "reviewQuality",
+                    rnd("usefulStandardized").alias("usefulStandardized"), "reviewFrequency", "sentiment",
+                    "dummy_sentiment_1", "dummy_sentiment_2")
