@@ -114,18 +114,50 @@ def review_frequency(df: DataFrame, key: str = "drugName", out: str = "reviewFre
 # ---------------------------------------------------------------- PIPE-2
 def feature_engineering(df: DataFrame, categorical=("drugName", "condition", "date"),
                         key: str = "drugName", useful: str = "usefulCount",
-                        scorer=None, text_col: str = "review") -> DataFrame:
-    """Codes, z-scores, quality/frequency flags, sentiment and its dummies."""
+                        scorer=None, text_col: str = "review", materialize: bool = True) -> DataFrame:
+    """Codes, z-scores, quality/frequency flags, sentiment and its dummies.
+
+    With ``materialize`` the input is first written to the checkpoint folder
+    (the stage hand-off the reference does with CSV files), so the fitting
+    passes below re-read a stored table instead of recomputing the cleaning.
+    Fitting takes one grouped pass per categorical column: the per-key sums
+    give the group means and sizes, and folding them gives the global
+    moments, so no separate global pass is needed.
+    """
     from reviewlab.operators.sentiment import score_sentiment
+    from reviewlab.session import cut_lineage
 
+    if materialize:
+        df = cut_lineage(df)
     cats = [c for c in categorical if c in df.columns]
-    d = label_encode(df, cats)
-    zcols = [c for c in ("word_count", "upper_count") if c in d.columns]
-    if zcols:
-        d = standardize(d, zcols, ddof=1)
-    d = review_quality(d, key, useful)
-    d = standardize(d, [useful], ddof=1, out={useful: "usefulStandardized"})
-    d = review_frequency(d, key)
+    zcols = [c for c in ("word_count", "upper_count") if c in df.columns]
+    mom = [useful, *zcols]
+    per_key = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"), F.avg(useful).alias("_avg"),
+        *[F.sum(F.col(c).cast("double")).alias(f"_s_{c}") for c in mom],
+        *[F.sum(F.col(c).cast("double") * F.col(c).cast("double")).alias(f"_q_{c}") for c in mom],
+        *[F.count(c).alias(f"_c_{c}") for c in mom])
+    per_key = cut_lineage(per_key)  # one row per key
+    tot = per_key.agg(*[F.sum(f"_s_{c}").alias(f"s_{c}") for c in mom], *[F.sum(f"_q_{c}").alias(f"q_{c}") for c in mom],
+                      *[F.sum(f"_c_{c}").alias(f"c_{c}") for c in mom],
+                      (F.sum(F.when(F.col(key).isNotNull(), F.col("_n") * F.col("_n")))
+                       / F.sum(F.when(F.col(key).isNotNull(), F.col("_n")))).alias("avg_n")).first()
+    fits = {}
+    for c in mom:
+        n, sm, sq = tot[f"c_{c}"], tot[f"s_{c}"], tot[f"q_{c}"]
+        mean = sm / n if n else None
+        var = (sq - n * mean * mean) / (n - 1) if n and n > 1 else None
+        fits[c] = (mean, math.sqrt(var) if var is not None and var > 0 else 0.0)
+    flags = per_key.where(F.col(key).isNotNull()).select(
+        key, F.col("_avg"), (F.col("_n") > F.lit(tot["avg_n"])).cast("int").alias("reviewFrequency"))
+    d = df.join(flags, key, "left").withColumns({
+        "reviewQuality": F.coalesce(F.col(useful) > F.col("_avg"), F.lit(False)).cast("int"),
+        "reviewFrequency": F.coalesce(F.col("reviewFrequency"), F.lit(0)),
+        "usefulStandardized": _z(useful, *fits[useful], zero_sd_as_one=False),
+        **{c: _z(c, *fits[c], zero_sd_as_one=False) for c in zcols}}).drop("_avg")
+    for c in cats:
+        src = per_key.select(key) if c == key else df
+        d = apply_label_codes(d, c, fit_label_codes(src, c))
     if text_col in d.columns:
         d = score_sentiment(d, text_col, out="sentiment", scorer=scorer)
         d = d.withColumns({"dummy_sentiment_1": (F.col("sentiment") == 1).cast("int"),
