@@ -1,0 +1,10 @@
+"""Streaming.
+
+The analysed workflow has no streaming input, watermark, window or stateful
+operator: every input is a whole file.  Nothing is registered here.  Every
+operator in this package is a plain ``DataFrame -> DataFrame`` function, so
+the row-local ones (text cleaning, lexicon sentiment, scoring with fitted
+literal models) apply unchanged to a ``readStream`` DataFrame or inside
+``foreachBatch``; the ones that fit statistics over a whole table are batch
+operators by definition.
+"""
