@@ -15,12 +15,8 @@ EVT = f"WITH r AS ({REVIEWS_EVT_SQL})\n"
 
 
 def evt_features_df(spark, sf):
-    r = reviews_evt(spark, sf)
-    d = fe.label_encode(r, ["drugName", "condition", "date"])
-    d = fe.review_quality(d, "drugName", "usefulCount")
-    d = fe.standardize(d, ["usefulCount"], ddof=1, out={"usefulCount": "usefulStandardized"})
-    d = fe.review_frequency(d, "drugName")
-    return d
+    """ENC-1, WIN-1..4, MTH-1 through the one-grouped-pass feature builder."""
+    return fe.feature_engineering(reviews_evt(spark, sf), categorical=("drugName", "condition", "date"))
 
 
 @register("evt_features", EVT + f"""
