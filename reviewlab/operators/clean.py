@@ -149,9 +149,17 @@ def match_conditions(rows: DataFrame, conds: DataFrame, id_col: str = "id", text
         exploded = toks.select(id_col, F.explode(all_cands).alias("_c"))
         parts.append(exploded.join(regular.select("_c", "first_id"), "_c"))
     if n_irr:
-        irr = F.broadcast(irregular) if n_irr <= MAX_REGEX_CONDITIONS else irregular
-        hit = rows.select(id_col, text).join(irr, F.col(text).rlike(condition_pattern(F.col("_c"))))
-        parts.append(hit.select("_c", id_col, "first_id"))
+        # a regex join needs a broadcast side; above the bound the conditions
+        # are taken in broadcast-sized chunks (never a Cartesian product)
+        from reviewlab.operators.indexing import ordered_index
+        n_chunks = -(-n_irr // MAX_REGEX_CONDITIONS)
+        irr = irregular if n_chunks == 1 else ordered_index(irregular, ["_c"], out="_i")
+        texts = rows.select(id_col, text)
+        for k in range(n_chunks):
+            part = irr if n_chunks == 1 else irr.where(
+                F.floor(F.col("_i") / MAX_REGEX_CONDITIONS) == k).drop("_i")
+            hit = texts.join(F.broadcast(part), F.regexp_like(F.col(text), condition_pattern(F.col("_c"))))
+            parts.append(hit.select("_c", id_col, "first_id"))
     if not parts:
         return spark.createDataFrame([], f"{id_col} bigint, {cond} string")
     allm = reduce(lambda a, b: a.unionByName(b), [p.select(id_col, "_c", "first_id") for p in parts])

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from reviewlab.operators.indexing import ordered_index
 from reviewlab.sources.fixtures import split_bucket
 
+MAX_BROADCAST_CLASSES = 1_000_000
+
 
 def train_test_split(df: DataFrame, id_col: str = "id", test_bucket: int = 0):
     """SMP-1: 80/20 by an md5 bucket of the id (bucket 0 = test)."""
@@ -38,7 +40,8 @@ def stratified_folds(df: DataFrame, label: str = "label", k: int = 5, order: str
     the class start gives the rank inside the class; ``ntile`` is arithmetic."""
     keys = ordered_index(df.select(label, order), [label, order], out="_pos")
     sizes = keys.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_start"))
-    j = keys.join(F.broadcast(sizes), label)  # one row per class
+    # one row per class: broadcast once the class count is known to be small
+    j = keys.join(F.broadcast(sizes) if sizes.count() <= MAX_BROADCAST_CLASSES else sizes, label)
     i = F.col("_pos") - F.col("_start")
     q = F.floor(F.col("_n") / k)
     r = F.col("_n") % k

@@ -62,7 +62,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None, keys=None) -> DataFrame:
     """Spread a scan that arrives in fewer partitions than the cluster has
     cores (a single-row-group file, for instance) before CPU-heavy work.
 
@@ -72,5 +72,7 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
+        # hashing on a key is deterministic under task retries without the
+        # sort a round-robin repartition needs
+        return df.repartition(want, *keys) if keys else df.repartition(want)
     return df

@@ -39,7 +39,7 @@ FROM events"""
 def reviews_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    d = ensure_parallelism(docs).join(labels, "doc_id", "left")
+    d = ensure_parallelism(docs, keys=["doc_id"]).join(labels, "doc_id", "left")
     cond = (F.when(F.col("doc_id") % 17 == 0, F.lit(None).cast("string"))
             .when(F.col("doc_id") % 29 == 0, F.lit(HELPFUL_TEXT))
             .otherwise(F.col("lang")))
@@ -125,7 +125,7 @@ def features_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents as z-scored features (word_count, upper_count, useful) + label."""
     from reviewlab.functions.text import upper_word_count, word_count
     from reviewlab.operators.features import standardize
-    d = ensure_parallelism(labelled_docs(spark, sf_dir))
+    d = ensure_parallelism(labelled_docs(spark, sf_dir), keys=["doc_id"])
     f = d.select(F.col("doc_id").alias("id"), word_count(F.col("text")).alias("word_count"),
                  upper_word_count(F.col("text")).alias("upper_count"),
                  F.col("n_chars").cast("double").alias("useful"), F.col("quality").cast("int").alias("label"))

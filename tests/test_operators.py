@@ -200,3 +200,22 @@ def test_gaussian_nb_probabilities(spark):
     for r in p:
         assert 0.0 <= r["probability"] <= 1.0
         assert r["prediction"] == int(r["probability"] > 0.5)
+
+
+def test_text_match_regular_and_irregular(spark, monkeypatch):
+    import re
+
+    from reviewlab.operators import clean as cl
+    texts = {1: "i have high blood pressure and acne", 2: "no match here", 3: "x acnes y", 4: "cold| sore",
+             5: "about 2 diabetes today", 6: "acne", 7: " acne ", 8: "bad  acne  and high blood pressure "}
+    conds = [("acne", 10), ("high blood pressure", 20), ("cold", 30), ("2 diabetes", 40), ("sore ", 50)]
+    rows = spark.createDataFrame(list(texts.items()), "id long, review string")
+    cd = spark.createDataFrame(conds, "condition string, first_id long")
+    monkeypatch.setattr(cl, "MAX_REGEX_CONDITIONS", 1)  # exercise the chunked regex path
+    got = {r["id"]: r["condition"] for r in cl.match_conditions(rows, cd).collect()}
+    exp = {}
+    for i, t in texts.items():
+        hits = [(f, c) for c, f in conds if re.search(r"[^a-z]" + re.escape(c) + r"[^a-z|s]", t)]
+        if hits:
+            exp[i] = max(hits)[1]
+    assert got == exp
