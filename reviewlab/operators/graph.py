@@ -29,9 +29,12 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id", s
                 .select("v", F.least("l", F.coalesce("m", "l")).alias("l")))
         jump = (step.join(step.select(F.col("v").alias("l"), F.col("l").alias("ll")), "l", "left")
                 .select("v", F.least("l", F.coalesce("ll", "l")).alias("l")))
-        new = cut_lineage(jump)
-        changed = new.join(lab.withColumnRenamed("l", "old"), "v").where(F.col("l") != F.col("old")).limit(1).count()
-        lab = new
+        # carry the old label along so the stop test is a scan of the checkpoint
+        flagged = jump.join(lab.select("v", F.col("l").alias("_old")), "v").withColumn(
+            "_chg", F.col("l") != F.col("_old")).drop("_old")
+        new = cut_lineage(flagged)
+        changed = new.where(F.col("_chg")).limit(1).count()
+        lab = new.drop("_chg")
         if changed == 0:
             break
     return lab.select(F.col("v").alias(node), F.col("l").alias("component"))
