@@ -16,7 +16,9 @@ EVT = f"WITH r AS ({REVIEWS_EVT_SQL})\n"
 
 def evt_features_df(spark, sf):
     """ENC-1, WIN-1..4, MTH-1 through the one-grouped-pass feature builder."""
-    return fe.feature_engineering(reviews_evt(spark, sf), categorical=("drugName", "condition", "date"))
+    # the input is a plain Parquet scan: re-reading it is as cheap as a checkpoint
+    return fe.feature_engineering(reviews_evt(spark, sf), categorical=("drugName", "condition", "date"),
+                                  materialize=False)
 
 
 @register("evt_features", EVT + f"""
