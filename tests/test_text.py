@@ -60,3 +60,27 @@ def test_marker_null(spark):
                               "id int, condition string")
     got = {r["id"]: r["condition"] for r in null_marker(d).collect()}
     assert got == {1: "acne", 2: None, 3: None}
+
+
+def test_text_functions_property(spark):
+    """Random mixes of letters, punctuation, Unicode, '039' and every kind of
+    Python whitespace, checked in one DataFrame against Python semantics."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(list("aAzZéÉßñ0397 \t\n\x0b\x0c\r\x1c\x85\xa0 　"
+                                    + string.punctuation))
+    texts = []
+
+    @settings(max_examples=150, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(alphabet, max_size=30).map("".join))
+    def collect(t):
+        texts.append(t)
+
+    collect()
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    rows = d.select("id", tx.clean_review(F.col("t")).alias("c"), tx.word_count("t").alias("w")).collect()
+    for r in rows:
+        t = texts[r["id"]]
+        assert r["c"] == py_clean_review(t), repr(t)
+        assert r["w"] == len(t.split()), repr(t)
