@@ -16,25 +16,26 @@ from reviewlab.session import cut_lineage
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id", src: str = "src",
-                         dst: str = "dst", max_rounds: int = 100) -> DataFrame:
-    """(id, component) with component = the smallest node id in the component."""
+                         dst: str = "dst") -> DataFrame:
+    """(id, component) with component = the smallest node id in the component.
+
+    Labels only ever fall and are bounded by the smallest id, so the loop ends; it
+    has no limit on rounds, since labels that still change are not an answer.
+    """
     e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))
     e = cut_lineage(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
                     .where(F.col("a") != F.col("b")).distinct())
     lab = cut_lineage(nodes.select(F.col(node).alias("v")).distinct().withColumn("l", F.col("v")))
-    for _ in range(max_rounds):
+    changed = True
+    while changed:
         nb = e.join(lab.select(F.col("v").alias("b"), F.col("l").alias("lb")), "b").groupBy("a").agg(
             F.min("lb").alias("m"))
+        # the old label travels along, so the stop test is a scan of the checkpoint
         step = (lab.join(nb.withColumnRenamed("a", "v"), "v", "left")
-                .select("v", F.least("l", F.coalesce("m", "l")).alias("l")))
+                .select("v", F.least("l", F.coalesce("m", "l")).alias("l"), F.col("l").alias("_old")))
         jump = (step.join(step.select(F.col("v").alias("l"), F.col("l").alias("ll")), "l", "left")
-                .select("v", F.least("l", F.coalesce("ll", "l")).alias("l")))
-        # carry the old label along so the stop test is a scan of the checkpoint
-        flagged = jump.join(lab.select("v", F.col("l").alias("_old")), "v").withColumn(
-            "_chg", F.col("l") != F.col("_old")).drop("_old")
-        new = cut_lineage(flagged)
-        changed = new.where(F.col("_chg")).limit(1).count()
+                .select("v", F.least("l", F.coalesce("ll", "l")).alias("l"), "_old"))
+        new = cut_lineage(jump.select("v", "l", (F.col("l") != F.col("_old")).alias("_chg")))
+        changed = not new.where("_chg").isEmpty()
         lab = new.drop("_chg")
-        if changed == 0:
-            break
     return lab.select(F.col("v").alias(node), F.col("l").alias("component"))
