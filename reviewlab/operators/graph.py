@@ -3,8 +3,8 @@
 Each round: every node takes the smallest label among itself and its
 neighbours, then jumps to its label's label (pointer jumping), which cuts the
 number of rounds from the graph diameter to roughly its logarithm.  Labels are
-reliably checkpointed each round (lineage stays short and survives executor
-loss); the loop stops when a round changes nothing.
+written to the shared folder each round (lineage stays short and survives
+executor loss); the loop stops when a round changes nothing.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.session import cut_lineage
+from reviewlab.session import stash
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id", src: str = "src",
@@ -23,19 +23,19 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id", s
     has no limit on rounds, since labels that still change are not an answer.
     """
     e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))
-    e = cut_lineage(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-                    .where(F.col("a") != F.col("b")).distinct())
-    lab = cut_lineage(nodes.select(F.col(node).alias("v")).distinct().withColumn("l", F.col("v")))
+    e = stash(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+              .where(F.col("a") != F.col("b")).distinct(), "cc-edges")
+    lab = stash(nodes.select(F.col(node).alias("v")).distinct().withColumn("l", F.col("v")), "cc-labels")
     changed = True
     while changed:
         nb = e.join(lab.select(F.col("v").alias("b"), F.col("l").alias("lb")), "b").groupBy("a").agg(
             F.min("lb").alias("m"))
-        # the old label travels along, so the stop test is a scan of the checkpoint
+        # the old label travels along, so the stop test is a scan of the written table
         step = (lab.join(nb.withColumnRenamed("a", "v"), "v", "left")
                 .select("v", F.least("l", F.coalesce("m", "l")).alias("l"), F.col("l").alias("_old")))
         jump = (step.join(step.select(F.col("v").alias("l"), F.col("l").alias("ll")), "l", "left")
                 .select("v", F.least("l", F.coalesce("ll", "l")).alias("l"), "_old"))
-        new = cut_lineage(jump.select("v", "l", (F.col("l") != F.col("_old")).alias("_chg")))
+        new = stash(jump.select("v", "l", (F.col("l") != F.col("_old")).alias("_chg")), "cc-labels")
         changed = not new.where("_chg").isEmpty()
         lab = new.drop("_chg")
     return lab.select(F.col("v").alias(node), F.col("l").alias("component"))

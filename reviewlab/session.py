@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +63,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder name (URI) under the shared folder; created by whoever writes first."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stash(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    Cuts the lineage like a reliable checkpoint, but columnar and compressed, and the
+    optimizer sees the real size: a checkpoint keeps the estimate of the plan before
+    it, which a loop of joins multiplies each round until planning itself fails.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None, keys=None) -> DataFrame:
     """Spread a scan that arrives in fewer partitions than the cluster has
     cores (a single-row-group file, for instance) before CPU-heavy work.
