@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlab.llm import exact_dedup
+from reviewlab.llm import exact_dedup, minhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,3 +32,9 @@ FROM documents WINDOW g AS (PARTITION BY COALESCE(text, ''))""")
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of whole texts; the largest doc_id of a group stays."""
     return exact_dedup.dedup_decisions(_table(spark, sf_dir, "documents"))
+
+
+@_register("op10_minhash")
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.8 or more."""
+    return minhash.near_components(_table(spark, sf_dir, "documents"), shingle=4, percent=80)

@@ -10,24 +10,10 @@ from __future__ import annotations
 import uuid
 
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
 
-from reviewlab.session import ensure_checkpoint_dir
+from reviewlab.session import scratch_dir, stash
 
-
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder name (URI) under the shared folder; created by whoever writes first."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-
-
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    Cuts the lineage like a reliable checkpoint, but columnar and compressed.
-    """
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["file_system", "put_file", "scratch_dir", "stash"]
 
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
