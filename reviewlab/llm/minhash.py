@@ -6,12 +6,13 @@ independent, unbiased samples for one evaluation.  ``rows`` values make a band;
 documents that agree on a band are candidates, and every candidate link is
 confirmed on the full sets.
 
-Buckets are never expanded into all their pairs.  In each round a bucket's
-leaders are tested against those members that are in another component so far,
-after which a leader has met everyone and leaves; a bucket is done when its
-remaining members are in one component.  A round's work is linear in the rows of
-the open buckets, rounds go on until no bucket is open, and so no link between
-members of a bucket is lost.
+Buckets are never expanded into all their pairs.  First every member of a bucket
+is compared with the bucket's smallest member only, which settles large groups of
+copies in linear work.  Buckets whose members are then still in more than one
+component make families (documents connected through such buckets); a family's
+members are cut into blocks of about ``BLOCK`` shingles, a task compares two blocks
+on their full sets at once, and blocks of one and the same component don't meet.
+So every link between members of a bucket is found, with bounded memory per task.
 
 With J = 0.8 a pair misses all 44 bands of 6 values with probability 1.6e-6.
 
@@ -37,8 +38,8 @@ from reviewlab.llm.textkernel import Words, mix64, shingles, slices
 from reviewlab.operators.graph import connected_components
 
 PERMS, ROWS = 132, 6
-#: Leaders that a bucket tests in one round, after the first round's single one.
-LEADERS = 16
+#: Shingles in a block of a family, about; a component of that many is cut into blocks of its own.
+BLOCK = 250_000
 
 
 def sorted_sets(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,15 +126,96 @@ def _verifier(k: int, percent: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs of classes whose full sets are similar enough."""
-    used = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    body = texts.join(used.join(reps, "cls").select("id", "cls"), "id").select("cls", "body")
-    body = stash(body, "near-texts")
-    full = (pairs.join(body.select(F.col("cls").alias("a"), F.col("body").alias("body_a")), "a")
-            .join(body.select(F.col("cls").alias("b"), F.col("body").alias("body_b")), "b")
-            .select("a", "b", "body_a", "body_b"))
-    return full.mapInArrow(_verifier(k, percent), "a long, b long").distinct()
+def _compared(k: int, percent: int):
+    """Links between different components within the tiles of one task's table."""
+    def links(cls: np.ndarray, comp: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+        n = np.array([len(s) for s in sets])
+        starts = np.concatenate([[0], np.cumsum(n)[:-1]])
+        _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        mark = np.zeros(len(flat), bool)
+        comp = comp.copy()
+        for i in range(len(cls)):
+            own = flat[starts[i]:starts[i] + n[i]]
+            # a tile of one block compares each pair once, a tile of two the first block with the second
+            open_ = (comp != comp[i]) & ((side != side[i]) if side.any() else (np.arange(len(cls)) > i))
+            if side[i] or not open_.any():
+                continue
+            mark[own] = True
+            both = np.add.reduceat(mark[flat], starts, dtype=np.int64)
+            mark[own] = False
+            for j in np.flatnonzero(open_ & (100 * both >= percent * (n[i] + n - both))):
+                if comp[j] != comp[i]:
+                    yield int(cls[i]), int(cls[j])
+                    comp[comp == comp[j]] = comp[i]
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        sets: list[np.ndarray] = []
+        for _, _, buf, offsets in slices(table["body"]):
+            flat, first = sorted_sets(*shingles(Words(buf, offsets), k))
+            sets += np.split(flat, first[1:-1])
+        tile, cls, comp, side = (table[c].to_numpy() for c in ("tile", "cls", "comp", "side"))
+        found = []
+        for t in np.unique(tile):
+            at = np.flatnonzero(tile == t)
+            found += links(cls[at], comp[at], side[at], [sets[i] for i in at])
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+    return run
+
+
+def _star(buckets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each bucket's members with its smallest one, sizes allowing."""
+    lead = buckets.groupBy("key").agg(F.min(F.struct("cls", "n")).alias("lead"))
+    near = F.lit(100) * F.least("n", F.col("lead.n")) >= F.lit(percent) * F.greatest("n", F.col("lead.n"))
+    return (buckets.join(lead, "key").where((F.col("cls") != F.col("lead.cls")) & near)
+            .select(F.col("lead.cls").alias("a"), F.col("cls").alias("b")).distinct())
+
+
+def _components(links: DataFrame) -> DataFrame:
+    """(cls, comp) of the classes that have links."""
+    nodes = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id")))
+    return connected_components(nodes, links, "id", "a", "b").select(F.col("id").alias("cls"), F.col("component").alias("comp"))
+
+
+def _tiles(members: DataFrame) -> DataFrame:
+    """Rows (fam, cls, n, comp) as (task, tile, side, cls, comp): which blocks meet where.
+
+    Large components of a family have blocks of their own; the others share blocks.
+    """
+    whole = (members.groupBy("fam", "comp").agg(F.sum("n").alias("weight"))
+             .withColumn("own", F.when(F.col("weight") >= BLOCK, F.col("comp"))))
+    size = whole.groupBy("fam", "own").agg(F.ceil(F.sum("weight") / BLOCK).alias("parts"))
+    rows = (members.join(whole.select("fam", "comp", "own"), ["fam", "comp"])
+            .join(size.withColumnsRenamed({"fam": "f", "own": "o"}), (F.col("fam") == F.col("f")) & F.col("own").eqNullSafe(F.col("o")))
+            .withColumn("block", F.xxhash64(F.coalesce(F.col("own").cast("string"), F.lit("")), F.pmod(F.xxhash64("cls"), "parts"))))
+    blocks = rows.groupBy("fam", "block").agg(F.any_value("own").alias("own"))
+    x, y = (blocks.select("fam", F.col("block").alias(f"{c}_block"), F.col("own").alias(f"{c}_own")) for c in "xy")
+    meet = x.join(y, "fam").where("x_block <= y_block AND (x_own IS NULL OR y_own IS NULL OR x_own <> y_own)")
+    meet = meet.withColumn("tile", F.xxhash64("fam", "x_block", "y_block"))
+    sides = meet.select("fam", "tile", F.col("x_block").alias("block"), F.lit(0).alias("side")).unionByName(
+        meet.where("x_block < y_block").select("fam", "tile", F.col("y_block").alias("block"), F.lit(1).alias("side")))
+    return rows.select("fam", "block", "cls", "n", "comp").join(sides, ["fam", "block"]).select("tile", "side", "cls", "n", "comp")
+
+
+def _family_links(buckets: DataFrame, label: DataFrame | None, bodies: DataFrame, k: int, percent: int) -> DataFrame | None:
+    """The links that the star comparison can't have seen."""
+    rows = buckets.withColumn("comp", F.col("cls")) if label is None else (
+        buckets.join(label, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")))
+    split = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    rows = stash(rows.join(split, "key", "left_semi"), "near-open")
+    if rows.isEmpty():
+        return None
+    lead = rows.groupBy("key").agg(F.min("cls").alias("a"))
+    family = _components(stash(rows.join(lead, "key").select("a", F.col("cls").alias("b")).distinct(), "near-family"))
+    members = stash(rows.select("cls", "n", "comp").distinct().join(family.withColumnRenamed("comp", "fam"), "cls"), "near-members")
+    tiles = stash(_tiles(members), "near-tiles")
+    # small tiles share a task
+    tasks = tiles.agg(F.ceil(F.sum("n") / BLOCK)).first()[0]
+    weight = tiles.groupBy("tile").agg(F.sum("n").alias("w"))
+    tiles = (tiles.join(weight, "tile")
+             .withColumn("task", F.when(F.col("w") > BLOCK / 4, F.col("tile")).otherwise(F.pmod("tile", F.lit(tasks)))))
+    return (tiles.join(bodies, "cls").select("task", "tile", "side", "cls", "comp", "body")
+            .groupBy("task").applyInArrow(_compared(k, percent), "a long, b long"))
 
 
 def _fingerprint(text: Column) -> Column:
@@ -150,37 +232,31 @@ def _decisions(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5, pe
                                f"id {id_type}, fp long, n long, cls long, bands array<long>"), "near-sketch")
     # documents with equal sets are one class from here on
     classes = (sketch.where("n > 0").groupBy("cls")
-               .agg(F.min("id").alias("id"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")))
+               .agg(F.min("id").alias("id"), F.min(F.struct("id", "fp")).alias("rep"),
+                    F.any_value("n").alias("n"), F.any_value("bands").alias("bands")))
     classes = stash(classes, "near-classes")
-    reps = classes.select("cls", "id").where("id IS NOT NULL")
     bucket = classes.select("cls", "n", F.explode("bands").alias("key"))
     shared = bucket.groupBy("key").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("key")
-    open_rows = stash(bucket.join(shared, "key").withColumn("comp", F.col("cls")), "near-buckets")
-    links, salts = None, 1
-    while not open_rows.isEmpty():
-        salt = F.pmod(F.xxhash64("cls"), F.lit(salts))
-        lead = (open_rows.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("cls", "n", "comp")).alias("lead"))
-                .select("key", "lead"))
-        near = F.lit(100) * F.least("n", F.col("lead.n")) >= F.lit(percent) * F.greatest("n", F.col("lead.n"))
-        pairs = (open_rows.join(lead, "key").where((F.col("comp") != F.col("lead.comp")) & near)
-                 .select(F.least("cls", F.col("lead.cls")).alias("a"), F.greatest("cls", F.col("lead.cls")).alias("b"))
-                 .distinct())
-        found = stash(_confirmed(stash(pairs, "near-pairs"), reps, texts, shingle, percent), "near-links")
-        links = found if links is None else stash(links.unionByName(found), "near-links")
-        nodes = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id")))
-        label = connected_components(nodes, links, "id", "a", "b").select(F.col("id").alias("cls"),
-                                                                       F.col("component").alias("new"))
-        rest = open_rows.join(lead.select("key", F.col("lead.cls").alias("cls")), ["key", "cls"], "left_anti")
-        rest = rest.join(label, "cls", "left").select("cls", "n", "key", F.coalesce("new", "comp").alias("comp"))
-        split = (rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                 .where("lo <> hi").select("key"))
-        open_rows = stash(rest.join(split, "key", "left_semi"), "near-buckets")
-        salts = LEADERS
+    bucket = stash(bucket.join(shared, "key"), "near-buckets")
+    # the texts of the classes that share a bucket with another, one row's for each class
+    used = bucket.select("cls").distinct().join(classes.select("cls", "rep"), "cls")
+    bodies = texts.join(used, F.col("id").eqNullSafe(F.col("rep.id")) & (_fingerprint(F.col("body")) == F.col("rep.fp")))
+    bodies = stash(bodies.select("cls", "body"), "near-texts")
+    pairs = stash(_star(bucket, percent), "near-pairs")
+    sides = pairs.join(bodies.select(F.col("cls").alias("a"), F.col("body").alias("body_a")), "a").join(
+        bodies.select(F.col("cls").alias("b"), F.col("body").alias("body_b")), "b").select("a", "b", "body_a", "body_b")
+    links = stash(sides.mapInArrow(_verifier(shingle, percent), "a long, b long"), "near-links")
+    label = None if links.isEmpty() else _components(links)
+    more = _family_links(bucket, label, bodies, shingle, percent)
+    if more is not None:
+        more = stash(more, "near-family-links")
+        if not more.isEmpty():
+            label = _components(links.unionByName(more))
     out = sketch.select("id", "fp", "n", "cls")
-    if links is None:
+    if label is None:
         named = classes.select("cls", F.col("id").alias("component_id"))
     else:
-        member = classes.select("cls", "id").join(label, "cls", "left").withColumn("comp", F.coalesce("new", "cls"))
+        member = classes.select("cls", "id").join(label, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
         least = member.groupBy("comp").agg(F.min("id").alias("component_id"))
         named = member.join(least, "comp").select("cls", "component_id")
     named = named.withColumn("some", F.lit(True))
