@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlab.llm import exact_dedup, minhash
+from reviewlab.llm import bpe, decontaminate, exact_dedup, langid, minhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +21,12 @@ def _register(name: str, sql: str | None = None):
     return deco
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the public vocabulary files lie; a path is all that the operators take."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -34,7 +40,25 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_decisions(_table(spark, sf_dir, "documents"))
 
 
+@_register("op7_decontamination")
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item: the best window of each such document and item."""
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_register("op8_bpe")
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every whole text, and the text decoded from them."""
+    return bpe.digests(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 @_register("op10_minhash")
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.8 or more."""
     return minhash.near_components(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
+@_register("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learnt from the documents outside the held-out quarter."""
+    return langid.identify(_table(spark, sf_dir, "documents"))

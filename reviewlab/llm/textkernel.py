@@ -83,12 +83,54 @@ def slices(column: pa.Array, slice_bytes: int = SLICE_BYTES) -> Iterator[tuple[i
         row = end
 
 
+class SortedHashes:
+    """Distinct 64-bit hashes, sorted, with an index over their top bits: a vectorised lookup."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.keys = np.unique(hashes)
+        bits = max(8, min(20, len(self.keys).bit_length() + 2))
+        self._shift = np.uint64(64 - bits)
+        self._starts = np.searchsorted(self.keys, np.arange(1 << bits, dtype=np.uint64) << self._shift).astype(np.int32)
+        self._probe = np.append(self.keys, np.uint64(0xFFFFFFFFFFFFFFFF))
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash among the sorted keys, or -1."""
+        at = self._starts[hashes >> self._shift]
+        key = self._probe[at]
+        out = np.where(key == hashes, at, -1)
+        left = np.flatnonzero(key < hashes)
+        at = at[left]
+        while len(left):
+            at = at + 1
+            inside = at < len(self.keys)
+            left, at = left[inside], at[inside]
+            key, want = self.keys[at], hashes[left]
+            out[left[key == want]] = at[key == want]
+            left, at = left[key < want], at[key < want]
+        out[out == len(self.keys)] = -1
+        return out
+
+
+def letters(buf: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """``table`` at each byte, with Latin-1 signs and general punctuation (U+0080-00BF, U+2000-207F) left out."""
+    value = table[buf]
+    if (buf >= 128).any():
+        two = np.flatnonzero(buf == 0xC2)
+        lead = np.flatnonzero(buf == 0xE2)
+        lead = lead[(buf[lead + 1] & 0xFE) == 0x80]
+        for at, n in ((two, 2), (lead, 3)):
+            for j in range(n):
+                value[at + j] = 0
+    return value
+
+
 class Words:
     """Words of a slice: ``start`` and ``end`` (bytes), ``hash``, and ``first[r]:first[r+1]`` for row r."""
 
-    def __init__(self, buf: np.ndarray, offsets: np.ndarray, table: np.ndarray = SPACED):
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray, table: np.ndarray = SPACED, signs: bool = True):
+        """``signs``: non-ASCII signs and punctuation belong to words too."""
         n = len(buf)
-        value = table[buf]
+        value = table[buf] if signs else letters(buf, table)
         inside = value != 0
         opens, closes = inside.copy(), inside.copy()
         if n:
