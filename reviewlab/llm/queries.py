@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlab.llm import bpe, decontaminate, exact_dedup, langid, minhash
+from reviewlab.llm import (
+    bpe, decontaminate, exact_dedup, langid, licenses, minhash, substring, tokenfile, toxicity, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,6 +33,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_register("op1_warc", """
+SELECT page_id, CAST(octet_length(body) AS BIGINT) AS payload_bytes, sha256(body) AS payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM (SELECT *, CASE WHEN octet_length(body) >= 100 AND page_id <> MIN(page_id) OVER (PARTITION BY body)
+                     THEN MIN(page_id) OVER (PARTITION BY body) END AS refers_to
+      FROM (SELECT page_id, encode(COALESCE(html, '')) AS body FROM pages))""")
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as monolithic archives, normalised to a member a record, and read back by offset."""
+    return warc.archived(_table(spark, sf_dir, "pages"))
+
+
 @_register("op2_exact_dedup", """
 SELECT doc_id, MAX(doc_id) OVER g AS keep_id, COUNT(*) OVER g AS group_size,
        doc_id = MAX(doc_id) OVER g AS kept, sha256(COALESCE(text, '')) AS text_sha256
@@ -40,6 +53,24 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_decisions(_table(spark, sf_dir, "documents"))
 
 
+@_register("op4_passages")
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that documents share, small changes allowed."""
+    return substring.passages(_table(spark, sf_dir, "documents"))
+
+
+@_register("op5_token_file")
+def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word BPE ids of every whole text in Simple-8b shards, read back from the files."""
+    return tokenfile.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@_register("op6_licenses")
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in every whole text."""
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 @_register("op7_decontamination")
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item: the best window of each such document and item."""
@@ -52,6 +83,12 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+@_register("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learnt from the labels outside the held-out quarter."""
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_register("op10_minhash")
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.8 or more."""

@@ -7,13 +7,11 @@ so losing an executor loses nothing that was already written.
 
 from __future__ import annotations
 
-import uuid
-
 from pyarrow import fs as pafs
 
 from reviewlab.session import scratch_dir, stash
 
-__all__ = ["file_system", "put_file", "scratch_dir", "stash"]
+__all__ = ["file_system", "scratch_dir", "stash"]
 
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -23,17 +21,3 @@ def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     if "://" not in uri:
         return pafs.LocalFileSystem(), uri
     return pafs.FileSystem.from_uri(uri)
-
-
-def put_file(uri: str, write) -> int:
-    """Write one file so that readers never see a part of it: ``write(sink)`` goes to a
-    name of this attempt's own, which is moved over ``uri`` at the end.  A repeated or
-    speculative attempt of the same task replaces the file with equal content.
-    """
-    fs, path = file_system(uri)
-    fs.create_dir(path.rpartition("/")[0], recursive=True)
-    own = f"{path.rpartition('/')[0]}/_{path.rpartition('/')[2]}.{uuid.uuid4().hex}"
-    with fs.open_output_stream(own, compression=None) as sink:
-        write(sink)
-    fs.move(own, path)
-    return fs.get_file_info(path).size
