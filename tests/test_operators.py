@@ -231,3 +231,28 @@ def test_tile_output_survives_checkpoint(spark):
                               "id long, v array<double>")
     r = radius_join(d, d, 1.0)
     assert cut_lineage(r).count() == r.count() >= 50
+
+
+def test_components_of_chains_stars_and_random_graphs(spark):
+    """Contraction against union-find, on ordered chains (many hops), stars, loops and repeated edges."""
+    import random
+
+    from reviewlab.operators.graph import connected_components
+    rng = random.Random(3)
+    edges = [(i, i + 1) for i in range(0, 200)] + [(500, 500 + i) for i in range(1, 50)] + [(700 + i, 700) for i in range(1, 30)]
+    edges += [(1000 + rng.randrange(120), 1000 + rng.randrange(120)) for _ in range(80)] + [(500, 501), (501, 500), (900, 900)]
+    nodes = sorted({x for e in edges for x in e} | {5000})
+    parent = {n: n for n in nodes}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    got = connected_components(spark.createDataFrame([(n,) for n in nodes], "id long"),
+                               spark.createDataFrame(edges, "src long, dst long")).collect()
+    assert {r["id"]: r["component"] for r in got} == {n: root(n) for n in nodes}
+    assert connected_components(spark.createDataFrame([(1,)], "id long"), spark.createDataFrame([], "src long, dst long")).collect() == [(1, 1)]
