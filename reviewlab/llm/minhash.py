@@ -205,9 +205,12 @@ def _family_links(buckets: DataFrame, label: DataFrame | None, bodies: DataFrame
     rows = stash(rows.join(split, "key", "left_semi"), "near-open")
     if rows.isEmpty():
         return None
-    lead = rows.groupBy("key").agg(F.min("cls").alias("a"))
-    family = _components(stash(rows.join(lead, "key").select("a", F.col("cls").alias("b")).distinct(), "near-family"))
-    members = stash(rows.select("cls", "n", "comp").distinct().join(family.withColumnRenamed("comp", "fam"), "cls"), "near-members")
+    # families of components: what the star comparison has joined is one node here
+    held = rows.select("key", "comp").distinct()
+    lead = held.groupBy("key").agg(F.min("comp").alias("a"))
+    family = _components(held.join(lead, "key").select("a", F.col("comp").alias("b")).distinct())
+    family = family.select(F.col("cls").alias("comp"), F.col("comp").alias("fam"))
+    members = stash(rows.select("cls", "n", "comp").distinct().join(family, "comp"), "near-members")
     tiles = stash(_tiles(members), "near-tiles")
     # small tiles share a task
     tasks = tiles.agg(F.ceil(F.sum("n") / BLOCK)).first()[0]
