@@ -120,9 +120,8 @@ def feature_engineering(df: DataFrame, categorical=("drugName", "condition", "da
     With ``materialize`` the input is first written to the checkpoint folder
     (the stage hand-off the reference does with CSV files), so the fitting
     passes below re-read a stored table instead of recomputing the cleaning.
-    Fitting takes one grouped pass per categorical column: the per-key sums
-    give the group means and sizes, and folding them gives the global
-    moments, so no separate global pass is needed.
+    Fitting takes one grouped pass per categorical column and one aggregate for
+    the global moments.
     """
     from reviewlab.operators.sentiment import score_sentiment
     from reviewlab.session import cut_lineage
@@ -132,22 +131,11 @@ def feature_engineering(df: DataFrame, categorical=("drugName", "condition", "da
     cats = [c for c in categorical if c in df.columns]
     zcols = [c for c in ("word_count", "upper_count") if c in df.columns]
     mom = [useful, *zcols]
-    per_key = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"), F.avg(useful).alias("_avg"),
-        *[F.sum(F.col(c).cast("double")).alias(f"_s_{c}") for c in mom],
-        *[F.sum(F.col(c).cast("double") * F.col(c).cast("double")).alias(f"_q_{c}") for c in mom],
-        *[F.count(c).alias(f"_c_{c}") for c in mom])
-    per_key = cut_lineage(per_key)  # one row per key
-    tot = per_key.agg(*[F.sum(f"_s_{c}").alias(f"s_{c}") for c in mom], *[F.sum(f"_q_{c}").alias(f"q_{c}") for c in mom],
-                      *[F.sum(f"_c_{c}").alias(f"c_{c}") for c in mom],
-                      (F.sum(F.when(F.col(key).isNotNull(), F.col("_n") * F.col("_n")))
-                       / F.sum(F.when(F.col(key).isNotNull(), F.col("_n")))).alias("avg_n")).first()
-    fits = {}
-    for c in mom:
-        n, sm, sq = tot[f"c_{c}"], tot[f"s_{c}"], tot[f"q_{c}"]
-        mean = sm / n if n else None
-        var = (sq - n * mean * mean) / (n - 1) if n and n > 1 else None
-        fits[c] = (mean, math.sqrt(var) if var is not None and var > 0 else 0.0)
+    per_key = cut_lineage(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.avg(useful).alias("_avg")))  # one row per key
+    # Spark's own mergeable moments: sums of squares would lose a small spread on a large mean
+    fits = fit_moments(df, mom)
+    tot = per_key.where(F.col(key).isNotNull()).agg(
+        (F.sum(F.col("_n") * F.col("_n")) / F.sum("_n")).alias("avg_n")).first()
     flags = per_key.where(F.col(key).isNotNull()).select(
         key, F.col("_avg"), (F.col("_n") > F.lit(tot["avg_n"])).cast("int").alias("reviewFrequency"))
     d = df.join(flags, key, "left").withColumns({

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 BLOCK_ROWS = 2048
 _CHUNK = 256
+#: Distances equal to this many digits are ties.
+TIE_DIGITS = 9
 
 
 def as_vector(cols) -> Column:
@@ -27,6 +29,12 @@ def as_vector(cols) -> Column:
 
 
 def _tile_topk(k: int, metric: str, exclude_self: bool, radius: float | None):
+    """Neighbours of a tile's queries: those within ``radius``, or all that may be among the k nearest.
+
+    Distances are sums over plain differences, one dimension at a time, so large
+    coordinates lose no digits.  Of the k nearest a tile keeps every ref whose rounded
+    distance is no more than the k-th smallest; only the final cut breaks ties by id.
+    """
     def run(key, qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"qid": pd.Series([], dtype="int64"), "rid": pd.Series([], dtype="int64"),
                               "dist": pd.Series([], dtype="float64")})
@@ -36,40 +44,44 @@ def _tile_topk(k: int, metric: str, exclude_self: bool, radius: float | None):
         R = np.stack(rp["rv"].to_numpy()).astype(np.float64)
         qids = qp["qid"].to_numpy().astype(np.int64)
         rids = rp["rid"].to_numpy().astype(np.int64)
-        r2 = (R * R).sum(axis=1)
         outs = []
         for s in range(0, len(Q), _CHUNK):
-            Qc, qc = Q[s:s + _CHUNK], qids[s:s + _CHUNK]
-            if metric == "euclidean":
-                D = (Qc * Qc).sum(axis=1)[:, None] + r2[None, :] - 2.0 * (Qc @ R.T)
-                D = np.sqrt(np.maximum(D, 0.0))
-            else:
-                D = np.abs(Qc[:, None, :] - R[None, :, :]).sum(axis=2)
+            qc = qids[s:s + _CHUNK]
+            D = _distances(Q[s:s + _CHUNK], R, metric)
             if exclude_self:
                 D[qc[:, None] == rids[None, :]] = np.inf
             if radius is not None:
-                # all refs within the radius (DBSCAN neighbourhoods)
-                slack = 1e-9 * max(1.0, radius)
-                qi, ri = np.nonzero(D <= radius + slack)
-                if len(qi):
-                    exact = _exact(Qc[qi], R[ri], metric)
-                    keep = exact <= radius
-                    outs.append(pd.DataFrame({"qid": qc[qi[keep]], "rid": rids[ri[keep]], "dist": exact[keep]}))
-                continue
-            kk = min(k + 4, D.shape[1])
-            idx = np.argpartition(D, kk - 1, axis=1)[:, :kk]
-            rows = np.repeat(np.arange(len(Qc)), kk)
-            cols = idx.reshape(-1)
-            exact = _exact(Qc[rows], R[cols], metric)
-            finite = np.isfinite(D[rows, cols])
-            outs.append(pd.DataFrame({"qid": qc[rows[finite]], "rid": rids[cols[finite]], "dist": exact[finite]}))
+                keep = D <= radius
+            else:
+                rounded = np.round(D, TIE_DIGITS)
+                kth = np.partition(rounded, k - 1, axis=1)[:, k - 1] if k < D.shape[1] else np.full(len(qc), np.inf)
+                keep = _first_ties(rounded, rids, kth, k) & np.isfinite(D)
+            qi, ri = np.nonzero(keep)
+            if len(qi):
+                outs.append(pd.DataFrame({"qid": qc[qi], "rid": rids[ri], "dist": D[qi, ri]}))
         return pd.concat(outs, ignore_index=True) if outs else empty
     return run
 
 
-def _exact(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
-    d = a - b
-    return np.sqrt((d * d).sum(axis=1)) if metric == "euclidean" else np.abs(d).sum(axis=1)
+def _first_ties(rounded: np.ndarray, rids: np.ndarray, kth: np.ndarray, k: int) -> np.ndarray:
+    """Which refs are the k nearest of this tile, equal distances going to the smaller id."""
+    nearer = rounded < kth[:, None]
+    order = np.argsort(rids, kind="stable")
+    equal = (rounded == kth[:, None])[:, order]
+    room = k - nearer.sum(axis=1)
+    taken = equal & (np.cumsum(equal, axis=1) <= room[:, None])
+    out = nearer
+    out[:, order] |= taken
+    return out
+
+
+def _distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
+    """(len(a), len(b)) distances."""
+    out = np.zeros((len(a), len(b)))
+    for j in range(a.shape[1]):
+        d = a[:, j, None] - b[None, :, j]
+        out += d * d if metric == "euclidean" else np.abs(d)
+    return np.sqrt(out) if metric == "euclidean" else out
 
 
 def _tiles(queries: DataFrame, refs: DataFrame, q_id: str, r_id: str, q_vec: str, r_vec: str,
@@ -96,7 +108,7 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id
     cand = g.applyInPandas(_tile_topk(k, metric, exclude_self, None), "qid long, rid long, dist double")
     # distances equal to 1e-9 count as ties and go to the smaller ref id, so
     # float noise cannot reorder mathematically equal distances
-    w = Window.partitionBy("qid").orderBy(F.round("dist", 9), "rid")
+    w = Window.partitionBy("qid").orderBy(F.round("dist", TIE_DIGITS), "rid")
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 

@@ -1,8 +1,10 @@
 """Ordinary least squares from sufficient statistics (REG-1..7, STA-3).
 
-One Spark aggregate returns n, X'X, X'y and y'y (a (k+1)^2 block of numbers);
-every fit, test, interval and stepwise step after that is d x d algebra on the
-driver, so stepwise elimination makes no further passes over the data.
+Two Spark aggregates return the means and scales of the columns and then the
+cross-products of the centred, scaled columns (a (k+1)^2 block of numbers); every
+fit, test, interval and stepwise step after that is d x d algebra on the driver, so
+stepwise elimination makes no further passes over the data.  Centring and scaling
+first keeps the digits of years, timestamps and other large values.
 Formulas follow the usual OLS definitions (statsmodels conventions for AIC,
 BIC, adjusted R^2 and mse_model).
 """
@@ -21,35 +23,39 @@ from reviewlab.operators.distributions import f_sf, t_ppf, t_sf2
 
 @dataclass
 class Moments:
+    """Sums over the columns z = (x - mean) / scale; the mean is 0 in a model without a constant."""
+
     names: list[str]          # regressors, constant first when present
-    G: np.ndarray             # X'X
-    b: np.ndarray             # X'y
+    mean: np.ndarray          # of the regressors without the constant
+    scale: np.ndarray
+    G: np.ndarray             # z'z
+    b: np.ndarray             # z'y, y centred if there is a constant
     yy: float
-    sy: float
+    my: float
     n: int
     intercept: bool
 
 
 def moments(df: DataFrame, features, target: str, intercept: bool = True) -> Moments:
-    """One pass: all pairwise products of the regressors and the target."""
+    """All pairwise products of the regressors and the target, after one pass for their means and scales."""
     feats = list(features)
-    cols = (["__const"] if intercept else []) + feats
-    expr = {c: (F.lit(1.0) if c == "__const" else F.col(c).cast("double")) for c in cols}
-    y = F.col(target).cast("double")
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y * y).alias("yy"), F.sum(y).alias("sy")]
-    for i, a in enumerate(cols):
-        aggs.append(F.sum(expr[a] * y).alias(f"b_{i}"))
-        for j in range(i, len(cols)):
-            aggs.append(F.sum(expr[a] * expr[cols[j]]).alias(f"g_{i}_{j}"))
-    row = df.where(F.col(target).isNotNull()).agg(*aggs).first()
-    k = len(cols)
-    G = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            G[i, j] = G[j, i] = row[f"g_{i}_{j}"] or 0.0
-    b = np.array([row[f"b_{i}"] or 0.0 for i in range(k)])
-    return Moments(["const"] + feats if intercept else feats, G, b, row["yy"] or 0.0, row["sy"] or 0.0,
-                   int(row["n"]), intercept)
+    k = len(feats)
+    rows = df.where(F.col(target).isNotNull()).select(
+        *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(feats)], F.col(target).cast("double").alias("y"))
+    first = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("my"), *[F.avg(f"x{i}").alias(f"m{i}") for i in range(k)],
+                     *[(F.stddev_pop(f"x{i}") if intercept else F.max(F.abs(f"x{i}"))).alias(f"s{i}") for i in range(k)]).first()
+    my = float(first["my"] or 0.0) if intercept else 0.0
+    mean = np.array([float(first[f"m{i}"] or 0.0) if intercept else 0.0 for i in range(k)])
+    # a constant column has no spread; it stays as the zero column that it is once centred
+    scale = np.array([float(first[f"s{i}"] or 0.0) or 1.0 for i in range(k)])
+    z = [(F.col(f"x{i}") - F.lit(float(mean[i]))) / F.lit(float(scale[i])) for i in range(k)] + [F.col("y") - F.lit(my)]
+    sums = rows.agg(F.count(F.lit(1)).alias("_"), *[F.sum(z[i] * z[j]).alias(f"g_{i}_{j}") for i in range(k + 1) for j in range(i, k + 1)]).first()
+    full = np.zeros((k + 1, k + 1))
+    for i in range(k + 1):
+        for j in range(i, k + 1):
+            full[i, j] = full[j, i] = sums[f"g_{i}_{j}"] or 0.0
+    return Moments(["const"] + feats if intercept else feats, mean, scale, full[:k, :k], full[:k, k], float(full[k, k]), my,
+                   int(first["n"]), intercept)
 
 
 @dataclass
@@ -73,25 +79,35 @@ class OLS:
     aic: float
     bic: float
     s2: float
-    Ginv: np.ndarray = field(repr=False)
+    mean: np.ndarray = field(repr=False)     # of the regressors kept, without the constant
+    scale: np.ndarray = field(repr=False)
+    Ginv: np.ndarray = field(repr=False)     # inverse of their z'z
     intercept: bool = True
 
 
 def solve(spark, m: Moments, keep: list[str] | None = None) -> OLS:
     """OLS on a subset of the regressors (sub-matrix of the same moments)."""
     keep = keep if keep is not None else m.names
-    idx = [m.names.index(x) for x in keep]
-    G = m.G[np.ix_(idx, idx)]
-    b = m.b[idx]
-    Ginv = np.linalg.pinv(G)
-    beta = Ginv @ b
-    ssr = float(m.yy - beta @ b)
-    c = 1 if (m.intercept and "const" in keep) else 0
-    k = len(keep) - c
+    c = int(m.intercept)
+    if c and "const" not in keep:
+        raise ValueError("the moments are centred: take moments(..., intercept=False) for a model without a constant")
+    feats = [x for x in m.names if x != "const"]
+    idx = [feats.index(x) for x in keep if x != "const"]
+    k = len(idx)
+    b, mean, scale = m.b[idx], m.mean[idx], m.scale[idx]
+    Ginv = np.linalg.pinv(m.G[np.ix_(idx, idx)]) if k else np.zeros((0, 0))
+    slope = Ginv @ b
+    raw = slope / scale
+    ssr = max(float(m.yy - slope @ b), 0.0)
     dfr = m.n - k - c
-    tss = float(m.yy - m.sy * m.sy / m.n) if c else float(m.yy)
+    tss = float(m.yy)
     s2 = ssr / dfr if dfr > 0 else float("nan")
-    se = np.sqrt(np.maximum(np.diag(Ginv) * s2, 0.0))
+    se = np.sqrt(np.maximum(np.diag(Ginv) * s2, 0.0)) / scale
+    beta = raw
+    if c:
+        at = mean / scale
+        beta = np.concatenate([[m.my - raw @ mean], raw])
+        se = np.concatenate([[math.sqrt(max(s2 * (1 / m.n + at @ Ginv @ at), 0.0)) if s2 == s2 else float("nan")], se])
     with np.errstate(divide="ignore", invalid="ignore"):
         t = beta / se
     p = np.array([t_sf2(spark, float(x), dfr) for x in t])
@@ -104,7 +120,7 @@ def solve(spark, m: Moments, keep: list[str] | None = None) -> OLS:
     aic = -2 * llf + 2 * (k + c)
     bic = -2 * llf + math.log(m.n) * (k + c)
     return OLS(list(keep), beta, se, t, p, m.n, k, dfr, ssr, tss, r2, r2_adj, mse_model, fval, f_p, llf,
-               aic, bic, s2, Ginv, bool(c))
+               aic, bic, s2, mean, scale, Ginv, bool(c))
 
 
 def fit(df: DataFrame, features, target: str, intercept: bool = True) -> OLS:
@@ -141,12 +157,13 @@ def predict(res: OLS, out: str = "prediction") -> Column:
 def mean_interval(df: DataFrame, res: OLS, alpha: float = 0.01) -> DataFrame:
     """REG-5: prediction, its standard error and the (1 - alpha) interval of the mean."""
     C = res.Ginv * res.s2
-    x = [F.lit(1.0) if nm == "const" else F.col(nm).cast("double") for nm in res.names]
-    quad = F.lit(0.0)
-    for i in range(len(x)):
-        for j in range(len(x)):
+    feats = [nm for nm in res.names if nm != "const"]
+    z = [(F.col(nm).cast("double") - F.lit(float(m))) / F.lit(float(s)) for nm, m, s in zip(feats, res.mean, res.scale)]
+    quad = F.lit(float(res.s2 / res.n) if res.intercept else 0.0)
+    for i in range(len(z)):
+        for j in range(len(z)):
             if C[i, j] != 0.0:
-                quad = quad + x[i] * x[j] * F.lit(float(C[i, j]))
+                quad = quad + z[i] * z[j] * F.lit(float(C[i, j]))
     tq = t_ppf(df.sparkSession, 1 - alpha / 2, res.df_resid)
     se = F.sqrt(F.greatest(quad, F.lit(0.0)))
     pred = predict(res, "prediction")

@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from reviewlab.operators.indexing import ordered_index
 from reviewlab.sources.fixtures import split_bucket
 
-MAX_BROADCAST_CLASSES = 1_000_000
-
 
 def train_test_split(df: DataFrame, id_col: str = "id", test_bucket: int = 0):
     """SMP-1: 80/20 by an md5 bucket of the id (bucket 0 = test)."""
@@ -39,16 +37,16 @@ def stratified_folds(df: DataFrame, label: str = "label", k: int = 5, order: str
     putting a whole class into one task: a global ordinal on (label, id) minus
     the class start gives the rank inside the class; ``ntile`` is arithmetic."""
     keys = ordered_index(df.select(label, order), [label, order], out="_pos")
-    sizes = keys.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_start"))
-    # one row per class: broadcast once the class count is known to be small
-    j = keys.join(F.broadcast(sizes) if sizes.count() <= MAX_BROADCAST_CLASSES else sizes, label)
+    sizes = keys.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_start"))
+    # rows without a label are a class of their own, so the joins are null-safe
+    j = keys.join(sizes, F.col(label).eqNullSafe(F.col("_label")))
     i = F.col("_pos") - F.col("_start")
     q = F.floor(F.col("_n") / k)
     r = F.col("_n") % k
     big = (q + 1) * r
     fold = F.when(i < big, F.floor(i / (q + 1))).otherwise(r + F.floor((i - big) / F.greatest(q, F.lit(1))))
-    folds = j.select(order, fold.cast("int").alias(out))
-    return df.join(folds, order)
+    folds = j.select(F.col(order).alias("_order"), fold.cast("int").alias(out))
+    return df.join(folds, df[order].eqNullSafe(F.col("_order")), "left").drop("_order")
 
 
 def union_in_order(first: DataFrame, second: DataFrame, tag: str = "src") -> DataFrame:

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -13,23 +14,28 @@ def get_spark(master: str | None = None, app: str = "reviewlab",
               shuffle_partitions: int | None = None) -> SparkSession:
     """Return a session tuned for the operators in this package.
 
-    On a cluster the caller's configuration wins; the settings here only fill
-    gaps (AQE on, Arrow on, UI off).
+    What the caller, spark-submit or spark-defaults has set stays; only unset
+    values are filled in.  Without any master it is a local session of
+    ``$BENCH_CPUS`` threads with as many shuffle partitions.
     """
+    conf = SparkConf()
     cpus = os.environ.get("BENCH_CPUS", "8")
     b = SparkSession.builder.appName(app)
-    if master is not None or not os.environ.get("SPARK_MASTER"):
-        b = b.master(master or f"local[{cpus}]")
-    parts = shuffle_partitions or int(cpus)
-    b = (b.config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.shuffle.partitions", str(parts))
-         .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g")))
+    master = master or os.environ.get("SPARK_MASTER")
+    local = (master or conf.get("spark.master", "local")).startswith("local")
+    wanted = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.adaptive.enabled": "true",
+              "spark.sql.adaptive.coalescePartitions.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true",
+              "spark.sql.session.timeZone": "UTC", "spark.sql.execution.arrow.pyspark.enabled": "true"}
+    if local:
+        wanted |= {"spark.master": f"local[{cpus}]", "spark.sql.shuffle.partitions": cpus,
+                   "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "16g")}
+    for key, value in wanted.items():
+        if not conf.contains(key):
+            b = b.config(key, value)
+    if master:
+        b = b.master(master)
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
