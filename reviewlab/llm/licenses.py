@@ -23,9 +23,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewlab.llm.storage import stash
+
 K, GAP, COVER = 2, 3, 0.85
-#: Fixed value: what a word is.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Fixed value: what stands between words, once A-Z are lower-cased.
+GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrases and their labels.
 PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 #: Notices of public licences, as words, and their labels.
@@ -46,14 +48,25 @@ NOTICES = [
 
 
 def words(text: Column) -> Column:
-    """The words of a text, A-Z lower-cased."""
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), upper, upper.lower()), F.lit(WORD), F.lit(0))
+    """The words of a text, lower-cased.
+
+    ``lower`` also lowers letters beyond A-Z, which neither parts nor joins words; only
+    the Kelvin sign would become a letter that templates may hold, and is left out.
+    """
+    plain = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u00e9")))
+    return F.array_remove(F.split(plain, GAPS), "")
+
+
+def _grams(of: str) -> Column:
+    """Of an array of words, structs of k words in a row (with nulls at the last k - 1 places)."""
+    return F.arrays_zip(*(F.slice(of, 1 + j, 1 << 30).alias(f"w{j}") for j in range(K)))
 
 
-def _grams(of: Column) -> Column:
-    """The k-grams of an array of words, each as one string; the last k - 1 places are null."""
-    return F.transform(of, lambda w, i: F.concat(w, *(F.concat(F.lit(" "), F.get(of, i + j)) for j in range(1, K))))
+def _exploded(rows: DataFrame, of: str, at: str, *keep: str) -> DataFrame:
+    """One row a k-gram: its place, its words, and its hash."""
+    grams = rows.select(*keep, F.posexplode(_grams(of)).alias(at, "_g"))
+    parts = [F.col("_g")[f"w{j}"].alias(f"w{j}") for j in range(K)]
+    return grams.select(*keep, at, *parts).where(f"w{K - 1} IS NOT NULL").withColumn("hash", F.xxhash64(*(f"w{j}" for j in range(K))))
 
 
 def templates(spark, phrases=None, notices=None) -> DataFrame:
@@ -67,14 +80,17 @@ def templates(spark, phrases=None, notices=None) -> DataFrame:
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **sets) -> DataFrame:
     """(doc, template, label, phrase, start, cover): where templates stand; doc is the id and a hash of the text."""
     known = templates(docs.sparkSession, **sets)
-    wanted = known.select("template", "size", "phrase", F.posexplode(_grams(words(F.col("body")))).alias("at", "wanted")).where(
-        "wanted IS NOT NULL").withColumn("hash", F.xxhash64("wanted"))
+    wanted = _exploded(known.withColumn("words", words(F.col("body"))), "words", "at", "template", "size", "phrase")
+    wanted = wanted.withColumnsRenamed({f"w{j}": f"t{j}" for j in range(K)})
     doc = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("fp"))
-    rolled = docs.select(doc.alias("doc"), words(F.col(text_col)).alias("words"))
-    rolled = rolled.select("doc", F.posexplode(_grams(F.col("words"))).alias("pos", "gram")).withColumn("hash", F.xxhash64("gram"))
-    votes = (rolled.join(F.broadcast(wanted), "hash").where("gram = wanted")
+    rolled = _exploded(docs.select(doc.alias("doc"), words(F.col(text_col)).alias("words")), "words", "pos", "doc")
+    # two words are equal if each starts with the other: said so, it is checked after the
+    # lookup by hash and doesn't make the words a part of the join key
+    same = " AND ".join(f"startswith(w{j}, t{j}) AND startswith(t{j}, w{j})" for j in range(K))
+    votes = (rolled.join(F.broadcast(wanted), "hash").where(same)
              .groupBy("doc", "template", "size", "phrase", (F.col("pos") - F.col("at")).alias("diagonal"))
              .agg(F.collect_set("at").alias("at")))
+    votes = stash(votes, "licence-votes")
     exact = votes.where("phrase AND size(at) = size").select("doc", "template", F.col("diagonal").alias("start"), F.lit(1.0).alias("cover"))
     by = Window.partitionBy("doc", "template").orderBy("diagonal")
     fuzzy = (votes.where("NOT phrase")
