@@ -94,4 +94,6 @@ def is_marker(c, marker: str = HELPFUL_MARKER) -> Column:
 
 def condition_pattern(cond) -> Column:
     """STR-10: ``[^a-z]`` + escaped literal + ``[^a-z|s]`` as a Java regex."""
-    return F.concat(F.lit("[^a-z]\\Q"), _c(cond), F.lit("\\E[^a-z|s]"))
+    # a literal that holds the end mark itself is quoted in two parts around it
+    literal = F.replace(_c(cond), F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+    return F.concat(F.lit("[^a-z]\\Q"), literal, F.lit("\\E[^a-z|s]"))

@@ -22,7 +22,6 @@ from reviewlab.functions.text import (
 _RUN_SPLIT = "(?<=[a-z])(?=[^a-z])|(?<=[^a-z])(?=[a-z])"
 # Bound for broadcasting the conditions that need a regex scan.
 MAX_REGEX_CONDITIONS = 20_000
-MAX_BROADCAST_CONDITIONS = 2_000_000
 
 
 def any_null(df: DataFrame, cols=None) -> Column:
@@ -132,7 +131,6 @@ def match_conditions(rows: DataFrame, conds: DataFrame, id_col: str = "id", text
              .groupBy("_reg").agg(F.collect_set(F.size(F.regexp_extract_all("_c", F.lit("[a-z]+"), 0))).alias("runs"),
                                   F.count(F.lit(1)).alias("n")).collect())  # at most two rows
     run_counts = sorted(next((r["runs"] for r in shape if r["_reg"]), []))
-    n_reg = next((r["n"] for r in shape if r["_reg"]), 0)
     n_irr = next((r["n"] for r in shape if not r["_reg"]), 0)
 
     parts = []
@@ -150,9 +148,9 @@ def match_conditions(rows: DataFrame, conds: DataFrame, id_col: str = "id", text
         all_cands = F.array_distinct(F.flatten(F.array(*per_t))) if len(per_t) > 1 else F.array_distinct(per_t[0])
         exploded = toks.select(id_col, F.explode(all_cands).alias("_c"))
         known = regular.select("_c", "first_id")
-        # conditions are a dimension; broadcasting them (size checked above)
-        # keeps a very frequent candidate string from skewing a shuffle join
-        parts.append(exploded.join(F.broadcast(known) if n_reg <= MAX_BROADCAST_CONDITIONS else known, "_c"))
+        # conditions are a dimension: Spark broadcasts them by their size in bytes, and beyond
+        # its threshold splits a very frequent candidate's partition
+        parts.append(exploded.join(known, "_c"))
     if n_irr:
         # a regex join needs a broadcast side; above the bound the conditions
         # are taken in broadcast-sized chunks (never a Cartesian product)

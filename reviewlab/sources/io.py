@@ -28,7 +28,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_reviews_tsv(spark: SparkSession, paths, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
-    """SRC-1: tab-separated text with a header; reviews may span lines."""
+    """SRC-1: tab-separated text with a header; reviews may span lines.
+
+    A file whose records may span lines can't be split, so each is read by one task:
+    a large corpus should come as many files, and is written as Parquet once.
+    """
     return (spark.read.schema(schema)
             .option("sep", "\t").option("header", True)
             .option("multiLine", True).option("quote", '"').option("escape", '"')
@@ -39,7 +43,7 @@ def read_reviews_tsv(spark: SparkSession, paths, schema: T.StructType = RAW_SCHE
 def read_csv(spark: SparkSession, paths, schema: T.StructType) -> DataFrame:
     """SRC-2: comma-separated file with a header row."""
     return (spark.read.schema(schema).option("header", True)
-            .option("multiLine", True).option("escape", '"').csv(paths))
+            .option("multiLine", True).option("escape", '"').option("mode", "FAILFAST").csv(paths))
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
