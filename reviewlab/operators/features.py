@@ -114,9 +114,13 @@ def review_frequency(df: DataFrame, key: str = "drugName", out: str = "reviewFre
 # ---------------------------------------------------------------- PIPE-2
 def feature_engineering(df: DataFrame, categorical=("drugName", "condition", "date"),
                         key: str = "drugName", useful: str = "usefulCount",
-                        scorer=None, text_col: str = "review", materialize: bool = True) -> DataFrame:
+                        scorer=None, text_col: str = "review", materialize: bool = True,
+                        fit_on: DataFrame | None = None) -> DataFrame:
     """Codes, z-scores, quality/frequency flags, sentiment and its dummies.
 
+    Statistics and dictionaries come from ``fit_on`` (``df`` itself if not given): a
+    category that it doesn't hold gets code -1 and no flag.
+
     With ``materialize`` the input is first written to the checkpoint folder
     (the stage hand-off the reference does with CSV files), so the fitting
     passes below re-read a stored table instead of recomputing the cleaning.
@@ -131,9 +135,10 @@ def feature_engineering(df: DataFrame, categorical=("drugName", "condition", "da
     cats = [c for c in categorical if c in df.columns]
     zcols = [c for c in ("word_count", "upper_count") if c in df.columns]
     mom = [useful, *zcols]
-    per_key = cut_lineage(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.avg(useful).alias("_avg")))  # one row per key
+    fitted = df if fit_on is None else fit_on
+    per_key = cut_lineage(fitted.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.avg(useful).alias("_avg")))  # one row per key
     # Spark's own mergeable moments: sums of squares would lose a small spread on a large mean
-    fits = fit_moments(df, mom)
+    fits = fit_moments(fitted, mom)
     tot = per_key.where(F.col(key).isNotNull()).agg(
         (F.sum(F.col("_n") * F.col("_n")) / F.sum("_n")).alias("avg_n")).first()
     flags = per_key.where(F.col(key).isNotNull()).select(
@@ -144,7 +149,7 @@ def feature_engineering(df: DataFrame, categorical=("drugName", "condition", "da
         "usefulStandardized": _z(useful, *fits[useful], zero_sd_as_one=False),
         **{c: _z(c, *fits[c], zero_sd_as_one=False) for c in zcols}}).drop("_avg")
     for c in cats:
-        src = per_key.select(key) if c == key else df
+        src = per_key.select(key) if c == key else fitted
         d = apply_label_codes(d, c, fit_label_codes(src, c))
     if text_col in d.columns:
         d = score_sentiment(d, text_col, out="sentiment", scorer=scorer)

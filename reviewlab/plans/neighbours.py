@@ -114,6 +114,33 @@ def doc_knn_distance_manhattan(spark, sf):
     return _knn_pred(spark, sf, "manhattan", "distance")
 
 
+@register("doc_knn_uniform_manhattan", _knn_pred_sql("manhattan", "uniform"))
+def doc_knn_uniform_manhattan(spark, sf):
+    """CLS-6: uniform weights, manhattan metric."""
+    return _knn_pred(spark, sf, "manhattan", "uniform")
+
+
+@register("doc_knn_distance_euclidean", _knn_pred_sql("euclidean", "distance"))
+def doc_knn_distance_euclidean(spark, sf):
+    """CLS-6: inverse-distance weights, euclidean metric."""
+    return _knn_pred(spark, sf, "euclidean", "distance")
+
+
+@register("emb_knn_ties", EMB + f"""
+, g AS (SELECT id, list_transform(v[1:6], x -> floor(x * 2)) AS v FROM e)
+, d AS (SELECT te.id AS qid, tr.id AS rid, list_distance(te.v, tr.v) AS dist FROM g te, g tr
+        WHERE {split_bucket_sql('te.id')} = 0 AND {split_bucket_sql('tr.id')} <> 0)
+SELECT qid, rid, CAST(rk AS INTEGER) AS rank, {r_sql('dist')} AS dist FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(dist, 9), rid) AS rk FROM d) WHERE rk <= 5""")
+def emb_knn_ties(spark, sf):
+    """JN-7 on coarse coordinates: most distances tie, and ties go to the smaller id."""
+    e = vectors_emb(spark, sf)
+    g = e.select("id", F.transform(F.slice("v", 1, 6), lambda x: F.floor(x * 2).cast("double")).alias("v"))
+    b = split_bucket("id")
+    nn = knn.knn_join(g.where(b == 0), g.where(b != 0), 5)
+    return nn.select("qid", "rid", F.col("rank").cast("int").alias("rank"), rnd("dist").alias("dist"))
+
+
 def _smote_sql() -> str:
     dist = "sqrt(" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in FEATS) + ")"
     feats = ", ".join(f"{r_sql(f'a.{c} + hh.u * (b.{c} - a.{c})')} AS {c}" for c in FEATS)

@@ -169,6 +169,19 @@ def li_series_order(spark, sf):
     return tr.unionByName(te)
 
 
+@register("evt_ols_epoch", f"""
+SELECT {r_sql('regr_slope(value, epoch(ts)) * 86400')} AS slope_per_day, {r_sql('regr_r2(value, epoch(ts))')} AS r2,
+       {r_sql('avg(value)')} AS at_mean FROM events""")
+def evt_ols_epoch(spark, sf):
+    """REG-1 with a large uncentred regressor: event value against time in seconds."""
+    e = spark.read.parquet(f"{sf}/events.parquet").select(
+        (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("x"), F.col("value").alias("y"))
+    fit = rg.fit(e, ["x"], "y")
+    at = fit.beta[0] + fit.beta[1] * fit.mean[0]
+    row = spark.createDataFrame([(float(fit.beta[1] * 86400), float(fit.r2), float(at))], "slope_per_day double, r2 double, at_mean double")
+    return row.select(*(rnd(c).alias(c) for c in row.columns))
+
+
 @register("li_stepwise")
 def li_stepwise(spark, sf):
     """REG-6: backward stepwise elimination table (rows-only; checked against numpy in tests)."""
