@@ -15,6 +15,7 @@ writes no shards.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -29,8 +30,10 @@ from reviewlab.llm import simple8b
 from reviewlab.llm.storage import file_system, scratch_dir, stash
 
 SHARD_IDS = 4 << 20
-WORDS = 600_000
+WORDS = 700_000
 END_ID = 1
+#: Words that normalisation leaves one piece: ASCII and Latin-1 letters.
+PLAIN = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
 
 
 class Words:
@@ -44,9 +47,40 @@ class Words:
         self.library.no_padding()
         self._known: dict[str, bytes] = {}
 
+        ends = self.library.get_vocab(with_added_tokens=True)
+        self._ends = np.zeros(1 + max(ends.values()), bool)
+        self._ends[[i for word, i in ends.items() if word.endswith("</w>")]] = True
+
     def _ask(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _ask_plain(self, words: list[str]) -> list[bytes]:
+        """Ids of words of Latin letters only: each is one piece, whose last id ends a word, so
+        many words can be asked for as one text."""
+        groups = [words[i:i + 256] for i in range(0, len(words), 256)]
+        out = []
+        for group, e in zip(groups, self.library.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            ends = (np.flatnonzero(self._ends[ids]) + 1).tolist()
+            if len(ends) != len(group):
+                raise ValueError(f"{len(group)} words gave {len(ends)} pieces")
+            flat = ids.tobytes()
+            out += [flat[4 * a:4 * b] for a, b in zip([0, *ends], ends)]
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        known = self._known
+        bare = {w: w[:-1] if len(w) > 1 and w[-1] in ".,;:!?" and w[-2].isascii() and w[-2].isalpha() else w for w in new}
+        # after an ASCII letter a last sign is a piece of its own
+        ask = {x for x in bare.values() if x not in known} | {x for x in ".,;:!?" if x not in known}
+        plain = [w for w in ask if PLAIN.fullmatch(w)]
+        known.update(zip(plain, self._ask_plain(plain)))
+        other = [w for w in ask if w not in known]
+        known.update(zip(other, self._ask(other)))
+        for w, stem in bare.items():
+            if w not in known:
+                known[w] = known[stem] + known[w[-1]]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         known = self._known
@@ -54,35 +88,16 @@ class Words:
             known.clear()
         known[""] = b""
         words: list[list[str] | None] = []
-        new: dict[str, None] = {}
         for text in texts:
-            if text and "<|" in text:
-                words.append(None)
-                continue
             text = text or ""
-            own = (text.lower() if text.isascii() else text).replace("\n", " ").split(" ")
-            for w in own:
-                if w not in known:
-                    # after an ASCII letter a last sign is a token of its own
-                    if w[-1] in ".,;:!?" and len(w) > 1 and w[-2].isascii() and w[-2].isalpha():
-                        new[w[:-1]] = new[w[-1]] = None
-                    else:
-                        new[w] = None
-            words.append(own)
-        new = [w for w in new if w not in known]
-        known.update(zip(new, self._ask(new)))
-
-        def split(w: str) -> bytes:
-            return known[w[:-1]] + known[w[-1]]
-
-        out = []
-        for text, own in zip(texts, words):
-            if own is None:
-                out += self._ask([text])
+            if "<|" in text:
+                words.append(None)
             else:
-                ids = map(known.get, own)
-                out.append(b"".join([x if x is not None else split(w) for x, w in zip(ids, own)]))
-        return out
+                words.append((text.lower() if text.isascii() else text).replace("\n", " ").split(" "))
+        met: set[str] = set()
+        met.update(*(own for own in words if own is not None))
+        self._learn([w for w in met if w not in known])
+        return [self._ask([text])[0] if own is None else b"".join(map(known.__getitem__, own)) for text, own in zip(texts, words)]
 
 
 _LOADED: dict[str, Words] = {}
