@@ -127,7 +127,7 @@ def doc_knn_distance_euclidean(spark, sf):
 
 
 @register("emb_knn_ties", EMB + f"""
-, g AS (SELECT id, list_transform(v[1:6], x -> floor(x * 2)) AS v FROM e)
+, g AS (SELECT id, [floor(x * 2) FOR x IN v[1:6]] AS v FROM e)
 , d AS (SELECT te.id AS qid, tr.id AS rid, list_distance(te.v, tr.v) AS dist FROM g te, g tr
         WHERE {split_bucket_sql('te.id')} = 0 AND {split_bucket_sql('tr.id')} <> 0)
 SELECT qid, rid, CAST(rk AS INTEGER) AS rank, {r_sql('dist')} AS dist FROM (
