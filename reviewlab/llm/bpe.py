@@ -7,8 +7,8 @@ then leftmost.  Merging a pair rewrites the left symbol, unlinks the right one a
 queues the two new pairs; entries whose pair has changed meanwhile are stale and
 skipped.
 
-Pieces repeat, so a task keeps what it has encoded: ``PIECES`` of either kind at
-most, after which it starts again.  A space after a non-space always starts a new
+Pieces repeat, so a worker keeps what it has encoded while a stage runs: ``PIECES`` of
+either kind at most, after which it starts again.  A space after a non-space always starts a new
 piece, so what stands between spaces is looked up as a whole first.
 
 Defined results: null and empty texts have no ids; special tokens' strings in a
@@ -29,7 +29,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PIECES = 700_000
+from reviewlab.llm.workercache import kept
+
+PIECES = 600_000
 #: Fixed value: how byte-level BPE cuts text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -183,25 +185,15 @@ class Bpe:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-_LOADED: dict[str, Bpe] = {}
-
-
-def load(path: str) -> Bpe:
-    """One tokenizer a Python process, so that tasks on the same worker share what it has encoded."""
-    if path not in _LOADED:
-        _LOADED[path] = Bpe(path)
-    return _LOADED[path]
-
-
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(``id_col``, ids): each text's ids as little-endian unsigned 32-bit integers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
-        for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.slice(at, 512)
-                ids = pa.array([bpe.encode(t) if t else b"" for t in part.column(1).to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["id", "ids"])
+        with kept(("bpe", path), lambda: Bpe(path)) as bpe:
+            for batch in batches:
+                for at in range(0, len(batch), 512):
+                    part = batch.slice(at, 512)
+                    ids = pa.array([bpe.encode(t) if t else b"" for t in part.column(1).to_pylist()], pa.binary())
+                    yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["id", "ids"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids binary").withColumnRenamed("id", id_col)
@@ -210,12 +202,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(``id_col``, ids, decoded): the texts of ``ids_col``, null where it is null."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
-        for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.slice(at, 512)
-                text = pa.array([None if x is None else bpe.decode(x) for x in part.column(1).to_pylist()], pa.string())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), text], names=["id", "ids", "decoded"])
+        with kept(("bpe", path), lambda: Bpe(path)) as bpe:
+            for batch in batches:
+                for at in range(0, len(batch), 512):
+                    part = batch.slice(at, 512)
+                    text = pa.array([None if x is None else bpe.decode(x) for x in part.column(1).to_pylist()], pa.string())
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), text], names=["id", "ids", "decoded"])
 
     rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids binary, decoded string").withColumnRenamed("id", id_col)

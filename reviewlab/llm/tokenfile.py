@@ -2,7 +2,7 @@
 
 Documents are range-partitioned and sorted by id; each task encodes its range with
 the tokenizers library and writes shards of about ``SHARD_IDS`` ids.  The library
-is called once for each distinct word a task meets (``WORDS`` are kept at most, then
+is called once for each distinct word a worker meets (``WORDS`` are kept at most, then
 it starts again): the tokenizer drops white space and never joins what a space parts,
 so a text's ids are those of its words one after the other.  Texts that hold "<|",
 the start of special tokens, go through the library whole.
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from reviewlab.llm import simple8b
 from reviewlab.llm.storage import file_system, scratch_dir, stash
+from reviewlab.llm.workercache import kept
 
 SHARD_IDS = 4 << 20
 WORDS = 700_000
@@ -100,21 +101,15 @@ class Words:
         return [self._ask([text])[0] if own is None else b"".join(map(known.__getitem__, own)) for text, own in zip(texts, words)]
 
 
-_LOADED: dict[str, Words] = {}
-
-
-def load(path: str) -> Words:
-    """One tokenizer a Python process."""
-    if path not in _LOADED:
-        _LOADED[path] = Words(path)
-    return _LOADED[path]
-
-
 def write(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_col: str = "text",
           end_id: int = END_ID, shard_ids: int = SHARD_IDS) -> DataFrame:
     """(part, number, file, n_docs, n_ids): the shards, in the order of their documents by (part, number)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, number = load(path), TaskContext.get().partitionId(), 0
+        with kept(("words", path), lambda: Words(path)) as words:
+            yield from written(batches, words)
+
+    def written(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[pa.RecordBatch]:
+        part, number = TaskContext.get().partitionId(), 0
         fs, base = file_system(folder)
         fs.create_dir(base, recursive=True)
         end = np.array([end_id], "<u4").tobytes()
