@@ -29,6 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewlab.llm.storage import in_batches
 from reviewlab.llm.workercache import kept
 
 PIECES = 600_000
@@ -195,7 +196,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     ids = pa.array([bpe.encode(t) if t else b"" for t in part.column(1).to_pylist()], pa.binary())
                     yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["id", "ids"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = in_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids binary").withColumnRenamed("id", id_col)
 
 

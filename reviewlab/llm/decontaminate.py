@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.llm.storage import stash
+from reviewlab.llm.storage import in_batches, stash
 from reviewlab.llm.textkernel import ALNUM, SortedHashes, Words, mix64, rolling, slices
 
 K = 5
@@ -201,7 +201,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """(doc, item_row, item_id, first_word, size, hamming, similarity): every window that matches an item."""
     spark = docs.sparkSession
     doc = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("fp"))
-    rows = docs.select(doc.alias("doc"), F.col(text_col).alias("text"))
+    rows = in_batches(docs).select(doc.alias("doc"), F.col(text_col).alias("text"))
     doc_id = docs.schema[id_col].dataType.simpleString()
     item_id = benchmark.schema[item_col].dataType.simpleString()
     items = stash(benchmark.select(F.monotonically_increasing_id().alias("item_row"), F.col(item_col).alias("item_id"),

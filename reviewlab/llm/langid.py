@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.llm.storage import stash
+from reviewlab.llm.storage import in_batches, stash
 from reviewlab.llm.textkernel import slices
 
 ORDER, BITS = 4, 6
@@ -258,7 +258,7 @@ def _scorer(shared):
 def _scores(rows: DataFrame, model: Model) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(model)
     id_type = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "text").mapInArrow(
+    return in_batches(rows).select("id", "text").mapInArrow(
         _scorer(shared), f"id {id_type}, lang_pred string, score double, rejected boolean, entropy double, symbols long")
 
 
@@ -266,7 +266,7 @@ def train(labelled: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Mode
     """Models of (id, text, lang) rows: counts over all of them, calibration over a bounded sample."""
     share = min(0.2, calibration_rows / max(1, labelled.count()))
     labelled = labelled.withColumn("part", (F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).cast("int"))
-    counts = stash(labelled.select("text", "lang", "part").mapInArrow(_count, "lang string, part int, code long, n long")
+    counts = stash(in_batches(labelled).select("text", "lang", "part").mapInArrow(_count, "lang string, part int, code long, n long")
                    .groupBy("lang", "part", "code").agg(F.sum("n").alias("n")), "lang-counts").toPandas()
     if not len(counts):
         return Model([], np.zeros((1 << BITS, 0)), {}, {})

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.llm.storage import stash
+from reviewlab.llm.storage import in_batches, stash
 from reviewlab.llm.textkernel import Words, mix64, shingles, slices
 from reviewlab.operators.graph import connected_components
 
@@ -228,7 +228,7 @@ def _fingerprint(text: Column) -> Column:
 def _decisions(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5, percent: int = 80,
                perms: int = PERMS, rows: int = ROWS) -> DataFrame:
     """(id, fp, n, component): every row's component, and a fingerprint of its text beside its id."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
+    texts = in_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
     id_type = texts.schema["id"].dataType.simpleString()
     sketch = stash(texts.withColumn("fp", _fingerprint(F.col("body")))
                    .mapInArrow(_sketcher(shingle, perms, rows),

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlab.llm import simple8b
-from reviewlab.llm.storage import file_system, scratch_dir, stash
+from reviewlab.llm.storage import file_system, in_batches, scratch_dir, stash
 from reviewlab.llm.workercache import kept
 
 SHARD_IDS = 4 << 20
@@ -143,7 +143,7 @@ def write(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_
         if docs_:
             yield shard()
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = in_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id")
     return stash(ordered.mapInArrow(run, "part int, number int, file string, n_docs long, n_ids long"), "token-shards")
 

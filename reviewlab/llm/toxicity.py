@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewlab.llm.storage import in_batches
 from reviewlab.llm.textkernel import ALNUM, Words, mix64, slices
 
 WINDOW, STRIDE = 32, 24
@@ -297,7 +298,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     network = train(docs, labels, id_col, text_col, label_col, train_rows)
     shared = docs.sparkSession.sparkContext.broadcast(network)
     held = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
-    rows = docs.select(F.struct(F.col(id_col).alias("id"), held.alias("held_out")).alias("id"), F.col(text_col).alias("text"))
+    rows = in_batches(docs).select(F.struct(F.col(id_col).alias("id"), held.alias("held_out")).alias("id"), F.col(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(_scorer(shared), f"id {id_type}, score double").select(
         F.col("id.id").alias(id_col), "id.held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

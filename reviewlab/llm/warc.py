@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.llm.storage import file_system, scratch_dir, stash
+from reviewlab.llm.storage import file_system, in_batches, scratch_dir, stash
 
 MIN_REVISIT = 100
 #: Bytes of records after which a task starts the next archive.
@@ -142,7 +142,7 @@ def write_monolithic(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_
         if sink is not None:
             yield close()
 
-    return stash(rows.select("ident", "target", "payload", "digest", "size", "refers_to")
+    return stash(in_batches(rows).select("ident", "target", "payload", "digest", "size", "refers_to")
                  .mapInArrow(run, "path string, n_records long"), "warc-monolithic")
 
 
