@@ -12,11 +12,14 @@ of all languages side by side; an n-gram that some language hasn't seen holds
 that language's interpolated value, and one that none has seen backs off.
 
 A document goes to the language of the lowest cross-entropy per symbol.  To
-calibrate rejection, models are first made without a sample of the training
-documents (a fifth of them, about ``CALIBRATION_ROWS`` at most, by a hash of the
-id) and that sample is scored.  A document is rejected if its excess over its
-language's mean there, scaled down for short texts, is more than 1.5 times the
-largest one there and ``MARGIN`` nats.  The final models have all counts.
+calibrate rejection, models are first made without a fifth of the training
+documents (by a hash of the id, whatever their number) and that fifth is scored.
+A document is rejected if its excess over its language's mean there, scaled down
+for short texts, is more than 1.5 times the ``QUANTILE`` of the excess there and
+``MARGIN`` nats.  A language with fewer than ``FEW`` rows there has the mean and the
+quantile of all languages' rows, or its own where they are larger; where all have fewer
+than ``FEW``, n of them, the margin grows by sqrt(FEW / n).  The final models have all
+counts.
 
 Defined results: null texts and texts without a letter are ``und``, score 0,
 rejected; without any labelled row all texts are ``und`` and only those without
@@ -39,7 +42,7 @@ from reviewlab.llm.storage import in_batches, stash
 from reviewlab.llm.textkernel import slices
 
 ORDER, BITS = 4, 6
-CALIBRATION_ROWS = 4096
+CALIBRATION_SHARE, QUANTILE, FEW = 0.2, 0.99, 100
 #: Nats per symbol beyond the calibrated limit that are let pass.
 MARGIN = 0.25
 #: Symbols beyond which a text's cross-entropy counts as settled.
@@ -262,10 +265,9 @@ def _scores(rows: DataFrame, model: Model) -> DataFrame:
         _scorer(shared), f"id {id_type}, lang_pred string, score double, rejected boolean, entropy double, symbols long")
 
 
-def train(labelled: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Model:
-    """Models of (id, text, lang) rows: counts over all of them, calibration over a bounded sample."""
-    share = min(0.2, calibration_rows / max(1, labelled.count()))
-    labelled = labelled.withColumn("part", (F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).cast("int"))
+def train(labelled: DataFrame, calibration_share: float = CALIBRATION_SHARE) -> Model:
+    """Models of (id, text, lang) rows: counts over all of them, calibration over a share of them."""
+    labelled = labelled.withColumn("part", (F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(calibration_share * (1 << 30))).cast("int"))
     counts = stash(in_batches(labelled).select("text", "lang", "part").mapInArrow(_count, "lang string, part int, code long, n long")
                    .groupBy("lang", "part", "code").agg(F.sum("n").alias("n")), "lang-counts").toPandas()
     if not len(counts):
@@ -276,15 +278,25 @@ def train(labelled: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Mode
         return kneser_ney({lang: (g["code"].to_numpy(), g["n"].to_numpy()) for lang, g in rows.groupby("lang")})
 
     model = built(counts)
-    mean, most = {}, {}
+    own, pooled, margin = {}, (0.0, np.inf), MARGIN
     if (counts["part"] == 0).any():
-        own = stash(_scores(labelled.where("part = 1"), built(counts[counts["part"] == 0])).where("symbols > 0"), "lang-calibration")
-        means = own.groupBy("lang_pred").agg(F.avg("entropy").alias("mean"))
+        scored = stash(_scores(labelled.where("part = 1"), built(counts[counts["part"] == 0])).where("symbols > 0")
+                       .select("lang_pred", "entropy", "symbols"), "lang-calibration")
+        means = scored.groupBy("lang_pred").agg(F.avg("entropy").alias("mean"))
         excess = (F.col("entropy") - F.col("mean")) * F.sqrt(F.least(F.col("symbols"), F.lit(SETTLED)) / SETTLED)
-        for r in own.join(means, "lang_pred").groupBy("lang_pred").agg(F.max("mean").alias("mean"), F.max(excess).alias("most")).collect():
-            mean[r.lang_pred], most[r.lang_pred] = r.mean, r.most
-    model.mean = np.array([mean.get(x, 0.0) for x in model.languages])
-    model.limit = np.array([1.5 * most[x] + MARGIN if x in most else np.inf for x in model.languages])
+        most = F.percentile_approx(excess, F.lit(QUANTILE), F.lit(10_000)).alias("most")
+        for r in (scored.join(F.broadcast(means), "lang_pred").groupBy("lang_pred")
+                  .agg(F.max("mean").alias("mean"), most, F.count(F.lit(1)).alias("n")).collect()):
+            own[r.lang_pred] = r.mean, r.most, r.n
+        r = scored.crossJoin(F.broadcast(scored.agg(F.avg("entropy").alias("mean")))).agg(F.max("mean").alias("mean"), most, F.count(F.lit(1)).alias("n")).first()
+        if r.n:
+            pooled, margin = (r["mean"], r["most"]), MARGIN * max(1.0, FEW / r.n) ** 0.5
+    both = []
+    for x in model.languages:
+        mean, most, n = own.get(x, (*pooled, 0))
+        both.append((mean, most) if n >= FEW else (max(mean, pooled[0]), max(most, pooled[1])))
+    model.mean = np.array([mean for mean, _ in both])
+    model.limit = np.array([1.5 * most + margin for _, most in both])
     return model
 
 
@@ -295,27 +307,27 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFra
                        F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("fp"))
 
 
-def _trained(rows: DataFrame, calibration_rows: int) -> Model:
-    return train(rows.where("NOT held_out AND lang IS NOT NULL AND id IS NOT NULL"), calibration_rows)
+def _trained(rows: DataFrame, calibration_share: float) -> Model:
+    return train(rows.where("NOT held_out AND lang IS NOT NULL AND id IS NOT NULL"), calibration_share)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-             calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
+             calibration_share: float = CALIBRATION_SHARE) -> DataFrame:
     """One row per document: id, held_out, lang_pred, score, rejected, entropy.
 
     Learns from the labelled rows whose crc32(id as text) mod 4 isn't 2.
     """
     rows = _rows(docs, id_col, text_col, lang_col)
-    model = _trained(rows, calibration_rows)
+    model = _trained(rows, calibration_share)
     out = _scores(rows.withColumn("id", F.struct("id", "held_out")), model)
     return out.select(F.col("id.id").alias(id_col), "id.held_out", "lang_pred", "score", "rejected", "entropy")
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                    calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
+                    calibration_share: float = CALIBRATION_SHARE) -> DataFrame:
     """``docs`` without the documents that no model accepts."""
     rows = _rows(docs, id_col, text_col, lang_col)
-    model = _trained(rows, calibration_rows)
+    model = _trained(rows, calibration_share)
     lost = _scores(rows.withColumn("id", F.struct("id", "fp")), model).where("rejected")
     lost = stash(lost.select(F.col("id.id").alias("lost_id"), F.col("id.fp").alias("lost_fp")).distinct(), "lang-rejected")
     return docs.join(lost, docs[id_col].eqNullSafe(lost["lost_id"])

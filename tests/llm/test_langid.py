@@ -121,3 +121,19 @@ def test_edges(spark):
     assert langid.identify(empty).collect() == [] and langid.keep_identified(empty).collect() == []
     unlabelled = langid.identify(docs.withColumn("lang", docs["lang"].substr(9, 1).cast("int").cast("string"))).collect()
     assert {r.lang_pred for r in unlabelled} == {"und"} and sum(r.rejected for r in unlabelled) == 3
+
+
+def test_limits_are_settled_by_no_single_row_and_hold_for_rare_languages(spark):
+    rng = np.random.default_rng(4)
+    stems = {"xx": ["banana", "bandana", "nab", "ban", "an"], "yy": ["the", "cat", "sat", "mat", "hat", "then"], "zz": ["ku", "kulo", "luko", "ok"]}
+    size = {"xx": 700, "yy": 700, "zz": 2}
+    rows = [(1000 * j + i, " ".join(rng.choice(stems[x], 90)), x) for j, x in enumerate(size) for i in range(size[x])]
+    schema = "id long, text string, lang string"
+    plain = langid.train(spark.createDataFrame(rows, schema))
+    assert np.isfinite(plain.limit).all()
+    odd = [(i, "the " + "qxz jvk wqz " * 30, x) if i % 100 == 7 and x == "yy" and i < 1200 else (i, text, x) for i, text, x in rows]
+    assert 0 < sum(a != b for a, b in zip(odd, rows)) <= 2
+    assert np.allclose(langid.train(spark.createDataFrame(odd, schema)).limit[:2], plain.limit[:2], atol=0.1)
+    got = langid.identify(spark.createDataFrame([*rows, (9001, "kulo ku ok luko " * 20, None), (9002, "wqz jvk qxz pfft " * 20, None)], schema), id_col="id")
+    by = {r.id: r.rejected for r in got.where("id > 9000").collect()}
+    assert by == {9001: False, 9002: True}
