@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact check.
 
 For every benchmark item of L words, windows of L words of every document are
-compared with it.  A window's SimHash sums +-weight of its words per bit.  The
+compared with it, or the whole text if it is shorter.  A window's SimHash sums +-weight of its words per bit.  The
 64 bits are cut into 8 blocks: two fingerprints within ``RADIUS`` = 15 bits have
 a block within 1 bit, so items are filed under each of their blocks' 9 values
 within 1 bit, windows look up their own 8, and no fingerprint within the radius
@@ -97,6 +97,9 @@ class Gate:
         self.mask = np.zeros(len(self.index.keys), np.uint64)
         np.bitwise_or.at(self.mask, self.index.find(flat), bit)
         self.sizes = sorted({x.size for x in items})
+        self.least: dict[int, int] = {}
+        for x in items:
+            self.least[x.size] = min(sum(x.weights), self.least.get(x.size, 1 << 62))
 
 
 def _windows(shared, threshold: float):
@@ -104,8 +107,13 @@ def _windows(shared, threshold: float):
         """Windows (first word, size, fingerprint, shingles, weights) of one document that may match."""
         bits, shingle, weight = None, *_shingled(h, w)
         for size in gate.sizes:
-            if size > len(h):
-                break
+            if size > len(h):  # the whole text is the only window, filed under the item's length
+                hit = (mask >> np.uint64(size % 64)) & np.uint64(1)
+                own = int(weight.sum())
+                if len(h) >= K and own >= threshold * gate.least[size] - 1e-9 and (weight * hit.astype(np.int64)).sum() >= threshold * own - 1e-9:
+                    bits = _bits(h, w) if bits is None else bits
+                    yield 0, size, int(_simhash(bits[-1:])[0]), shingle.view(np.int64), weight
+                continue
             if size < K:  # such a window is one shingle
                 s, wt = rolling(h, size) ^ np.uint64(size), np.convolve(w, np.ones(size, np.int64), "valid").astype(np.int32)
                 at = gate.index.find(s)
@@ -166,7 +174,10 @@ def _verify(threshold: float):
         for batch in batches:
             a, wa, b, wb = (batch.column(n) for n in ("shingles", "weights", "item_shingles", "item_weights"))
             value = np.array([weighted_jaccard(*(np.asarray(c[i].values) for c in (a, wa, b, wb))) for i in range(len(batch))])
-            out = pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("doc", "item_row", "item_id", "first_word", "size", "hamming")),
+            # a whole text that is shorter than the item has fewer shingles than the item's length says
+            size, n = np.asarray(batch.column("size")), np.array([len(x) for x in a], np.int32)
+            size = pa.array(np.where(size < K, size, n + K - 1).astype(np.int32))
+            out = pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("doc", "item_row", "item_id", "first_word")), size, batch.column("hamming"),
                                               pa.array(value, pa.float64())],
                                              names=["doc", "item_row", "item_id", "first_word", "size", "hamming", "similarity"])
             yield out.filter(pa.array(value >= threshold - 1e-9))
@@ -213,7 +224,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     found = None
     for i in range(n_blocks):
         part = items.where(F.pmod(F.xxhash64("item_row"), F.lit(n_blocks)) == i) if n_blocks > 1 else items
-        gate = part.select("size", "shingles").collect()
+        gate = part.select("size", "shingles", "weights").collect()
         if gate:
             one = _matches(rows, part, spark.sparkContext.broadcast(Gate(gate)), threshold, doc_id, item_id)
             found = one if found is None else found.unionByName(one)

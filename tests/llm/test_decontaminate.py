@@ -80,3 +80,15 @@ def test_stage_drops_only_leaks_and_takes_empty_tables(spark):
     assert sorted((r.doc_id, r.similarity) for r in left.collect()) == [(2, "b"), (3, "e")]
     assert decontaminate.decontaminate(docs, items.limit(0)).count() == 5
     assert decontaminate.decontaminate(docs.limit(0), items).count() == 0
+
+
+def test_a_text_shorter_than_the_item_is_compared_as_a_whole(spark):
+    item = ITEM.split()[:59]
+    docs = [(1, " ".join(item[:52])), (2, " ".join(item[4:])), (3, " ".join(item[:40])), (4, "word0 of0"), (5, " ".join(item))]
+    got = decontaminate.contaminated(frame(spark, docs), frame(spark, [(1, " ".join(item))], "item_id long, text string")).collect()
+    want = {}
+    for i, text in docs:
+        a, b = bag(words(text)), bag(item)
+        want[i] = sum(min(a.get(x, 0), b[x]) for x in b) / sum(max(a.get(x, 0), b.get(x, 0)) for x in a.keys() | b.keys())
+    assert {r.doc_id: round(r.similarity, 9) for r in got} == {i: round(v, 9) for i, v in want.items() if v >= 0.8}
+    assert {r.doc_id: r.n_words for r in got} == {1: 52, 2: 55, 5: 59}
