@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewlab.llm import (
-    bpe, decontaminate, exact_dedup, langid, licenses, minhash, substring, tokenfile, toxicity, warc,
+    alignment, bpe, decontaminate, exact_dedup, langid, licenses, minhash, pivots, substring, tokenfile, toxicity, vectorcodes, warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,47 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole text, learnt from the documents outside the held-out quarter."""
     return langid.identify(_table(spark, sf_dir, "documents"))
+
+
+@_register("op11_alignment")
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned over every whole text, with corpus-wide counts of aligned id pairs."""
+    return alignment.align(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def _codes_sql() -> str:
+    """Codebooks and codes in SQL: every part against all 64 entries, for two rounds and the end."""
+    dims = range(4)
+    near = " + ".join(f"(v.x{d} - c.x{d}) * (v.x{d} - c.x{d})" for d in dims)
+    coords = ", ".join(f"CAST(floor(CAST(embedding[4 * p + {d + 1}] AS DOUBLE) * 256) AS BIGINT) AS x{d}" for d in dims)
+    x = ", ".join(f"x{d}" for d in dims)
+    # a distance below 2**50 times 64, plus the entry: the smallest has the lowest index among ties
+    found = f"""SELECT v.vec_id, v.p, min(({near}) * 64 + c.e) AS m, {", ".join(f"any_value(v.x{d}) AS x{d}" for d in dims)}
+                FROM v JOIN c{{k}} c ON v.p = c.p GROUP BY v.vec_id, v.p"""
+    moved = f"""SELECT c.p, c.e, {", ".join(f"COALESCE(s.x{d}, c.x{d}) AS x{d}" for d in dims)} FROM c{{k}} c LEFT JOIN (
+                SELECT p, m % 64 AS e, {", ".join(f"CAST(floor(sum(x{d})::DOUBLE / count(*)) AS BIGINT) AS x{d}" for d in dims)} FROM a{{k}} GROUP BY 1, 2) s
+                ON c.p = s.p AND c.e = s.e"""
+    return f"""
+WITH kept AS (SELECT vec_id, label, embedding FROM embeddings WHERE embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+v AS (SELECT vec_id, p, {coords} FROM kept, range(16) AS parts(p)),
+c0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, {x} FROM v QUALIFY e < 64),
+a0 AS ({found.format(k=0)}), c1 AS ({moved.format(k=0)}),
+a1 AS ({found.format(k=1)}), c2 AS ({moved.format(k=1)}),
+a2 AS ({found.format(k=2)}),
+coded AS (SELECT vec_id, string_agg(printf('%02x', CAST(m % 64 AS INT)), '' ORDER BY p) AS code, CAST(sum(m // 64) AS BIGINT) AS error FROM a2 GROUP BY vec_id),
+made AS (SELECT sha256(string_agg(concat_ws(',', {x}), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, label, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), made"""
+
+
+@_register("op12_vector_codes", _codes_sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all vectors, nearest entries by sliced and intersected bitmasks."""
+    return vectorcodes.encode(_table(spark, sf_dir, "embeddings"))
+
+
+@_register("op13_near_vectors")
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of cosine 0.95 or more, retrieved by shared pivots and verified; links and components."""
+    return pivots.near_vectors(_table(spark, sf_dir, "embeddings"))
