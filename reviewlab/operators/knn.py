@@ -1,11 +1,14 @@
 """Exact k-nearest-neighbour join (JN-7) and kNN classification (CLS-5, CLS-6).
 
-Both sides are hashed into blocks of bounded size.  Every (query block, ref
-block) pair meets in one cogroup task, where numpy computes the distances of
-that tile and keeps only the k best refs per query row; a window over each
-query's (blocks x k) candidates then keeps the global k.  Memory per task is
-bounded by the block size whatever the data size or key skew, and only
-O(k) rows per query leave a tile.  Work is quadratic, as exact kNN is.
+Reference rows are parted by nearest centre and dealt into blocks (``metric``).  A query first visits
+the blocks of its own part; its k-th distance there, or a distance within which the parts' sizes
+promise k rows, bounds how far it must look, and it then visits only those parts that can hold anything
+nearer.  A block's task keeps at most k rows a query, a window over these keeps the
+global k.  Memory is bounded by a block whatever the data size or key skew.  Where distances are too alike to
+rule anything out, work is quadratic, as exact answers then require.
+
+Rows whose vector is null, empty, of another length than the first reference's or not finite in every
+component are neither queries nor references.
 """
 
 from __future__ import annotations
@@ -14,74 +17,122 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 2048
+from reviewlab.operators.metric import BLOCK_ROWS, Block, Partition, Rows, as_vector, fit, valid, visit, with_parts
+from reviewlab.session import stash
+
+__all__ = ["as_vector", "best_votes", "cluster_distance_sums", "knn_join", "knn_predict", "knn_vote_curve", "radius_join", "tuned_votes"]
+
 _CHUNK = 256
 #: Distances equal to this many digits are ties.
 TIE_DIGITS = 9
+_FOUND = "qid long, rid long, dist double"
 
 
-def as_vector(cols) -> Column:
-    """Pack numeric columns into an array<double> column."""
-    return F.array(*[F.col(c).cast("double") for c in cols])
+def _nearest(k: int, exclude_self: bool, apart: bool):
+    """Kernel: the k nearest of a block for each visitor, no further than its bound."""
+    def kernel(block: Block):
+        def meet(q: Rows) -> pa.RecordBatch | None:
+            allowed = np.ones((len(q), len(block.rows)), bool)
+            if exclude_self:
+                allowed &= q.id[:, None] != block.rows.id[None, :]
+            if apart:
+                allowed &= q.tag[:, None] != block.rows.tag[None, :]
+            near, error = block.screened(q.v)
+            near = np.where(allowed, near, np.inf)
+            # the k-th screened value, and whatever may round to the same distance
+            kth = np.partition(near, k - 1, axis=1)[:, k - 1] if k < near.shape[1] else np.full(len(q), np.inf)
+            limit = np.maximum(kth + error, 0)
+            limit = (np.sqrt(limit) if block.metric == "euclidean" else limit) + 2 * 10.0 ** -TIE_DIGITS
+            i, j, d = block.pairs(q.v, np.minimum(limit, q.bound * (1 + 1e-9) + 2 * 10.0 ** -TIE_DIGITS), allowed)
+            if not len(i):
+                return None
+            order = np.lexsort((block.rows.id[j], np.round(d, TIE_DIGITS), i))
+            i, j, d = i[order], j[order], d[order]
+            start = np.searchsorted(i, i)
+            keep = np.arange(len(i)) - start < k
+            return pa.RecordBatch.from_arrays([pa.array(q.id[i[keep]]), pa.array(block.rows.id[j[keep]]), pa.array(d[keep])], names=["qid", "rid", "dist"])
+        return meet
+    return kernel
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    # distances equal to 1e-9 count as ties and go to the smaller ref id, so
+    # float noise cannot reorder mathematically equal distances
+    w = Window.partitionBy("qid").orderBy(F.round("dist", TIE_DIGITS), "rid")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _tile_topk(k: int, metric: str, exclude_self: bool, radius: float | None):
-    """Neighbours of a tile's queries: those within ``radius``, or all that may be among the k nearest.
+def _side(rows: DataFrame, id_col: str, vec: str, apart: str | None) -> DataFrame:
+    tag = F.col(apart).cast("bigint") if apart else F.lit(0).cast("bigint")
+    return valid(rows.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(tag, F.lit(-1).cast("bigint")).alias("tag"),
+                             F.col(vec).cast("array<double>").alias("v")))
 
-    Distances are sums over plain differences, one dimension at a time, so large
-    coordinates lose no digits.  Of the k nearest a tile keeps every ref whose rounded
-    distance is no more than the k-th smallest; only the final cut breaks ties by id.
-    """
-    def run(key, qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"qid": pd.Series([], dtype="int64"), "rid": pd.Series([], dtype="int64"),
-                              "dist": pd.Series([], dtype="float64")})
-        if len(qp) == 0 or len(rp) == 0:
-            return empty
-        Q = np.stack(qp["qv"].to_numpy()).astype(np.float64)
-        R = np.stack(rp["rv"].to_numpy()).astype(np.float64)
-        qids = qp["qid"].to_numpy().astype(np.int64)
-        rids = rp["rid"].to_numpy().astype(np.int64)
-        outs = []
-        for s in range(0, len(Q), _CHUNK):
-            qc = qids[s:s + _CHUNK]
-            D = _distances(Q[s:s + _CHUNK], R, metric)
-            if exclude_self:
-                D[qc[:, None] == rids[None, :]] = np.inf
-            if radius is not None:
-                keep = D <= radius
-            else:
-                rounded = np.round(D, TIE_DIGITS)
-                kth = np.partition(rounded, k - 1, axis=1)[:, k - 1] if k < D.shape[1] else np.full(len(qc), np.inf)
-                keep = _first_ties(rounded, rids, kth, k) & np.isfinite(D)
-            qi, ri = np.nonzero(keep)
-            if len(qi):
-                outs.append(pd.DataFrame({"qid": qc[qi], "rid": rids[ri], "dist": D[qi, ri]}))
-        return pd.concat(outs, ignore_index=True) if outs else empty
-    return run
-
-
-def _first_ties(rounded: np.ndarray, rids: np.ndarray, kth: np.ndarray, k: int) -> np.ndarray:
-    """Which refs are the k nearest of this tile, equal distances going to the smaller id."""
-    nearer = rounded < kth[:, None]
-    order = np.argsort(rids, kind="stable")
-    equal = (rounded == kth[:, None])[:, order]
-    room = k - nearer.sum(axis=1)
-    taken = equal & (np.cumsum(equal, axis=1) <= room[:, None])
-    out = nearer
-    out[:, order] |= taken
-    return out
+
+def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id: str = "id",
+             q_vec: str = "v", r_vec: str = "v", metric: str = "euclidean", exclude_self: bool = False,
+             block_rows: int = BLOCK_ROWS, apart: str | None = None) -> DataFrame:
+    """(qid, rid, dist, rank) for the k nearest refs of every query row;
+    ties in distance go to the smaller ref id.  ``apart`` names a column of few whole numbers (folds, say):
+    a query's neighbours are then rows of other values (null counts as one value)."""
+    r = _side(refs, r_id, r_vec, apart)
+    first = r.select("id", "v").orderBy("id").limit(1).collect()
+    spark = queries.sparkSession
+    if not first:
+        return spark.createDataFrame([], f"{_FOUND}, rank int")
+    size = len(first[0].v)
+    r = stash(r.where(F.size("v") == size), "knn-refs")
+    q = _side(queries, q_id, q_vec, apart).where(F.size("v") == size)
+    parts = fit(r, metric, block_rows, "tag" if apart else None)
+    placed = with_parts(r, parts, ("tag",))
+    kernel = _nearest(k, exclude_self, apart is not None)
+    q = q.withColumn("bound", F.lit(float("inf")))
+    if len(parts.centres) == 1:
+        return _ranked(visit(q, placed, parts, kernel, _FOUND), k)
+    placed, q = stash(placed, "knn-blocks"), stash(q, "knn-queries")
+
+    def own(rows: Rows, away: np.ndarray, home: np.ndarray) -> np.ndarray:
+        return np.arange(away.shape[1])[None, :] == home[:, None]
+
+    near = stash(_ranked(visit(q, placed, parts, kernel, _FOUND, own), k), "knn-own")
+    kth = near.where(F.col("rank") == k).select(F.col("qid").alias("id"), F.col("dist").alias("kth"))
+    bounded = q.drop("bound").join(kth, "id", "left").withColumn("bound", F.coalesce("kth", F.lit(float("inf")))).drop("kth")
+    other = visit(bounded, placed, parts, kernel, _FOUND, reachable(parts, k + int(exclude_self)))
+    return _ranked(near.drop("rank").unionByName(other), k)
+
+
+def reachable(parts: Partition, k: int):
+    """Which parts other than its own a query must visit for its k nearest."""
+    def wants(rows: Rows, away: np.ndarray, home: np.ndarray) -> np.ndarray:
+        bound = np.minimum(rows.bound, parts.most(away, rows.tag, k)) + 2 * 10.0 ** -TIE_DIGITS
+        return (parts.least(away, home) <= bound[:, None]) & (np.arange(away.shape[1])[None, :] != home[:, None])
+    return wants
 
 
-def _distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
-    """(len(a), len(b)) distances."""
-    out = np.zeros((len(a), len(b)))
-    for j in range(a.shape[1]):
-        d = a[:, j, None] - b[None, :, j]
-        out += d * d if metric == "euclidean" else np.abs(d)
-    return np.sqrt(out) if metric == "euclidean" else out
+def radius_join(queries: DataFrame, refs: DataFrame, radius: float, q_id: str = "id", r_id: str = "id",
+                q_vec: str = "v", r_vec: str = "v", metric: str = "euclidean",
+                block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(qid, rid, dist) for every pair within ``radius`` (self pairs included)."""
+    r = _side(refs, r_id, r_vec, None)
+    first = r.select("id", "v").orderBy("id").limit(1).collect()
+    if not first:
+        return queries.sparkSession.createDataFrame([], _FOUND)
+    size = len(first[0].v)
+    r = stash(r.where(F.size("v") == size), "radius-refs")
+    parts = fit(r, metric, block_rows)
+    limit = float(radius)
+
+    def kernel(block: Block):
+        def meet(q: Rows) -> pa.RecordBatch:
+            i, j, d = block.pairs(q.v, np.full(len(q), limit))
+            return pa.RecordBatch.from_arrays([pa.array(q.id[i]), pa.array(block.rows.id[j]), pa.array(d)], names=["qid", "rid", "dist"])
+        return meet
+
+    q = _side(queries, q_id, q_vec, None).where(F.size("v") == size).withColumn("bound", F.lit(limit))
+    return visit(q, with_parts(r, parts, ("tag",)), parts, kernel, _FOUND)
 
 
 def _tiles(queries: DataFrame, refs: DataFrame, q_id: str, r_id: str, q_vec: str, r_vec: str,
@@ -99,27 +150,6 @@ def _tiles(queries: DataFrame, refs: DataFrame, q_id: str, r_id: str, q_vec: str
     return qx.groupBy("qb", "rb").cogroup(rx.groupBy("qb", "rb"))
 
 
-def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id: str = "id",
-             q_vec: str = "v", r_vec: str = "v", metric: str = "euclidean", exclude_self: bool = False,
-             block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(qid, rid, dist, rank) for the k nearest refs of every query row;
-    ties in distance go to the smaller ref id."""
-    g = _tiles(queries, refs, q_id, r_id, q_vec, r_vec, block_rows)
-    cand = g.applyInPandas(_tile_topk(k, metric, exclude_self, None), "qid long, rid long, dist double")
-    # distances equal to 1e-9 count as ties and go to the smaller ref id, so
-    # float noise cannot reorder mathematically equal distances
-    w = Window.partitionBy("qid").orderBy(F.round("dist", TIE_DIGITS), "rid")
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
-def radius_join(queries: DataFrame, refs: DataFrame, radius: float, q_id: str = "id", r_id: str = "id",
-                q_vec: str = "v", r_vec: str = "v", metric: str = "euclidean",
-                block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(qid, rid, dist) for every pair within ``radius`` (self pairs included)."""
-    g = _tiles(queries, refs, q_id, r_id, q_vec, r_vec, block_rows)
-    return g.applyInPandas(_tile_topk(0, metric, False, float(radius)), "qid long, rid long, dist double")
-
-
 def knn_vote_curve(neigh: DataFrame, qlabels: DataFrame, rlabels: DataFrame) -> DataFrame:
     """CLS-5: accuracy for every k = 1..K from one K-neighbour join.
 
@@ -157,6 +187,37 @@ def knn_predict(neigh: DataFrame, rlabels: DataFrame, weights: str = "uniform",
                       (F.col("w1") > F.col("wt") - F.col("w1")).cast("int").alias("prediction"))
 
 
+#: The search's candidates, in its order.
+TUNING = [(metric, weights) for metric in ("euclidean", "manhattan") for weights in ("uniform", "distance")]
+
+
+def tuned_votes(train: DataFrame, k: int, vec: str = "v", fold: str = "fold", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """CLS-6: (metric, weights, fold, n, accuracy) of a vote of k rows outside each row's own fold.
+
+    A row is tested by the models of the other folds only, so one neighbour pass a metric that skips rows of the
+    query's own fold gives what every model of the search would answer; both weightings vote over
+    the same neighbours.
+    """
+    rows = stash(train.select("id", vec, fold, "label"), "knn-train")
+    labels = rows.select("id", "label")
+    out = None
+    for metric in ("euclidean", "manhattan"):
+        near = stash(knn_join(rows, rows, k, q_vec=vec, r_vec=vec, metric=metric, block_rows=block_rows, apart=fold), "knn-folds")
+        for weights in ("uniform", "distance"):
+            votes = knn_predict(near, labels, weights).select(F.col("qid").alias("id"), "prediction")
+            part = (rows.join(votes, "id").groupBy(F.col(fold).alias("fold"))
+                    .agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"))
+                    .select(F.lit(metric).alias("metric"), F.lit(weights).alias("weights"), "fold", "n", "accuracy"))
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def best_votes(table: DataFrame) -> tuple[str, str]:
+    """The (metric, weights) of the highest mean accuracy over folds, the first of equals."""
+    means = {(r.metric, r.weights): r.a for r in table.groupBy("metric", "weights").agg(F.avg("accuracy").alias("a")).collect()}
+    return max(TUNING, key=lambda c: round(means.get(c, 0.0), 12))
+
+
 def _tile_cluster_sums(key, qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
     empty = pd.DataFrame({"qid": pd.Series([], dtype="int64"), "cluster": pd.Series([], dtype="int64"),
                           "dsum": pd.Series([], dtype="float64"), "cnt": pd.Series([], dtype="int64")})
