@@ -67,7 +67,9 @@ class Side:
 
     def joined(self, ids: np.ndarray) -> bytes:
         """The bytes of ids, one after the other."""
-        return b"".join(self.bytes.take(pa.array(ids)).to_pylist())
+        taken = self.bytes.take(pa.array(ids))
+        ends = np.frombuffer(taken.buffers()[1], np.int64)
+        return taken.buffers()[2].to_pybytes()[ends[taken.offset]:ends[taken.offset + len(ids)]]
 
 
 def byte_side(path: str) -> Side:
@@ -139,14 +141,17 @@ class Aligner:
         """The rows whose tokens cover space and text on both sides, and their ids."""
         rows = [i for i, t in enumerate(texts) if t]
         own = [texts[i] for i in rows]
-        found: tuple[list, list, list] = ([], [], [])
-        for row, text, a, b in zip(rows, own, self.a.encode([" " + t for t in own]), self.b.encode(own)):
-            a, b = np.array(a, np.int64), np.array(b, np.int64)
-            raw = b" " + text.encode()
-            if len(raw) == self.a.lengths[a].sum() == self.b.lengths[b].sum() and self.a.joined(a) == raw == self.b.joined(b):
-                for out, x in zip(found, (row, a, b)):
-                    out.append(x)
-        return found
+        raws = [b" " + t.encode() for t in own]
+        a_ids, b_ids = ([np.array(x, np.int64) for x in side] for side in (self.a.encode([" " + t for t in own]), self.b.encode(own)))
+        fits = [len(raw) == self.a.lengths[a].sum() == self.b.lengths[b].sum() for raw, a, b in zip(raws, a_ids, b_ids)]
+        if not all(fits) or not self._same(a_ids, b_ids, raws):
+            # some text differs: each is looked at by itself
+            fits = [ok and self._same([a], [b], [raw]) for ok, a, b, raw in zip(fits, a_ids, b_ids, raws)]
+        return tuple([x for x, ok in zip(column, fits) if ok] for column in (rows, a_ids, b_ids))
+
+    def _same(self, a_ids: list[np.ndarray], b_ids: list[np.ndarray], raws: list[bytes]) -> bool:
+        raw = b"".join(raws)
+        return not raws or self.a.joined(np.concatenate(a_ids)) == raw == self.b.joined(np.concatenate(b_ids))
 
     def align(self, texts: list[str | None]) -> Aligned:
         n = len(texts)
