@@ -24,7 +24,7 @@ def _ordered(edges: DataFrame, a: str, b: str) -> DataFrame:
     return edges.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).distinct()
 
 
-def _ends(parent: DataFrame) -> DataFrame:
+def chain_ends(parent: DataFrame) -> DataFrame:
     """(v, p) with every p the end of its chain; a chain's length halves each time."""
     while True:
         up = parent.select(F.col("v").alias("p"), F.col("p").alias("pp"))
@@ -40,7 +40,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id", s
     left = stash(_ordered(edges, src, dst), "cc-edges")
     label = nodes.select(F.col(node).alias("v")).distinct().withColumn("l", F.col("v"))
     while not left.isEmpty():
-        parent = _ends(left.groupBy(F.col("hi").alias("v")).agg(F.min("lo").alias("p")))
+        parent = chain_ends(left.groupBy(F.col("hi").alias("v")).agg(F.min("lo").alias("p")))
         label = label.join(parent.withColumnRenamed("v", "l"), "l", "left").select("v", F.coalesce("p", "l").alias("l"))
         low = parent.select(F.col("v").alias("lo"), F.col("p").alias("a"))
         high = parent.select(F.col("v").alias("hi"), F.col("p").alias("b"))

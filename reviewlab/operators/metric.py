@@ -71,17 +71,22 @@ def paired(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
 
 @dataclass
 class Rows:
-    """Rows in a task: ids, vectors, a tag (group, component, fold) and a distance that bounds them."""
+    """Rows in a task: ids, vectors, a tag (group, component, fold), a distance that bounds them and a number of their own."""
     id: np.ndarray
     v: np.ndarray
     tag: np.ndarray
     bound: np.ndarray
+    extra: np.ndarray
 
     def __len__(self) -> int:
         return len(self.id)
 
     def part(self, lo: int, hi: int) -> Rows:
-        return Rows(self.id[lo:hi], self.v[lo:hi], self.tag[lo:hi], self.bound[lo:hi])
+        return Rows(*(x[lo:hi] for x in (self.id, self.v, self.tag, self.bound, self.extra)))
+
+    @staticmethod
+    def joined(rows: list[Rows]) -> Rows:
+        return Rows(*(np.concatenate([getattr(r, c) for r in rows]) for c in ("id", "v", "tag", "bound", "extra")))
 
 
 class Block:
@@ -248,24 +253,28 @@ def _visits(visitors: DataFrame, parts: Partition, wants: Callable[[Rows, np.nda
                     part_slice = rows.id[row[lo:lo + SENT]] % slices if slices > 1 else np.zeros(len(sent))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(sent.astype(np.int32)), pa.array(part_slice.astype(np.int32)), pa.array(np.ones(len(sent), np.int32)),
-                         *(batch.column(c).take(own) for c in ("id", "tag", "bound", "v"))], names=_SENT_NAMES)
+                         *(batch.column(c).take(own) for c in ("id", "tag", "bound", "extra", "v"))], names=_SENT_NAMES)
+
+    return visitors.select("id", "tag", "bound", _extra(visitors), "v").mapInArrow(run, _SENT)
 
-    return visitors.select("id", "tag", "bound", "v").mapInArrow(run, _SENT)
 
+_SENT = "block int, slice int, kind int, id long, tag long, bound double, extra double, v array<double>"
+_SENT_NAMES = ["block", "slice", "kind", "id", "tag", "bound", "extra", "v"]
 
-_SENT = "block int, slice int, kind int, id long, tag long, bound double, v array<double>"
-_SENT_NAMES = ["block", "slice", "kind", "id", "tag", "bound", "v"]
+
+def _extra(rows: DataFrame) -> Column:
+    return F.col("extra") if "extra" in rows.columns else F.lit(0.0).alias("extra")
 
 
 def _rows(batch: pa.RecordBatch) -> Rows:
-    return Rows(batch.column("id").to_numpy(), matrix(batch.column("v")), batch.column("tag").to_numpy(), batch.column("bound").to_numpy())
+    return Rows(batch.column("id").to_numpy(), matrix(batch.column("v")), *(batch.column(c).to_numpy() for c in ("tag", "bound", "extra")))
 
 
 def visit(visitors: DataFrame, placed: DataFrame, parts: Partition, kernel: Callable[[Block], Callable[[Rows], pa.RecordBatch | None]],
           schema: str, wants: Callable[[Rows, np.ndarray, np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """What ``kernel(block)`` returns for the batches of visitors that must meet the block.
 
-    ``visitors`` has (id, tag, bound, v), ``placed`` (block, id, tag, v) from ``with_parts``.  ``wants(rows,
+    ``visitors`` has (id, tag, bound, v), ``placed`` (block, id, tag, v) from ``with_parts``; either may have ``extra``.  ``wants(rows,
     away, home)`` says which (visitor, part) pairs meet; by default those whose lower bound is within the visitor's bound.
     """
     if wants is None:
@@ -273,7 +282,7 @@ def visit(visitors: DataFrame, placed: DataFrame, parts: Partition, kernel: Call
             return parts.least(away, home) <= rows.bound[:, None]
     slices = max(1, math.ceil(int(parts.counts.sum()) / VISITORS))
     waiting = placed.select("block", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"), F.lit(0).alias("kind"),
-                            "id", "tag", F.lit(0.0).alias("bound"), "v")
+                            "id", "tag", F.lit(0.0).alias("bound"), _extra(placed), "v")
     met = _visits(visitors, parts, wants, slices).unionByName(waiting)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,8 +303,7 @@ def visit(visitors: DataFrame, placed: DataFrame, parts: Partition, kernel: Call
                 if meet is None:
                     if not held:
                         continue  # an empty part
-                    rows = Rows(*(np.concatenate([getattr(h, c) for h in held]) for c in ("id", "v", "tag", "bound")))
-                    meet = kernel(Block(rows, parts.metric))
+                    meet = kernel(Block(Rows.joined(held), parts.metric))
                 rows = _rows(batch)
                 for at in range(0, len(rows), BATCH):
                     out = meet(rows.part(at, at + BATCH))
@@ -311,7 +319,8 @@ def per_block(placed: DataFrame, metric: str, work: Callable[[Block], pa.RecordB
         now, held = None, []
 
         def done() -> pa.RecordBatch:
-            return work(Block(Rows(*(np.concatenate([getattr(h, c) for h in held]) for c in ("id", "v", "tag", "bound"))), metric))
+            return work(Block(Rows.joined(held), metric))
+
         for whole in batches:
             block = whole.column("block").to_numpy()
             cuts = (np.flatnonzero(block[1:] != block[:-1]) + 1).tolist()
@@ -326,5 +335,5 @@ def per_block(placed: DataFrame, metric: str, work: Callable[[Block], pa.RecordB
         if held:
             yield done()
 
-    rows = placed.select("block", "id", "tag", F.lit(0.0).alias("bound"), "v").repartition("block").sortWithinPartitions("block", "id")
+    rows = placed.select("block", "id", "tag", F.lit(0.0).alias("bound"), _extra(placed), "v").repartition("block").sortWithinPartitions("block", "id")
     return rows.mapInArrow(run, schema)

@@ -134,7 +134,7 @@ def emb_kmeans_sweep(spark, sf):
     return cu.kmeans_sweep(vectors_emb(spark, sf), range(3, 14))
 
 
-OUT_DIMS, OUT_EPS, OUT_MIN = 8, 0.30, 4
+OUT_DIMS, OUT_EPS, OUT_MIN = 64, 1.55, 4
 
 
 def _out_sql() -> str:
@@ -165,7 +165,7 @@ def _out_labels(spark, sf):
 
 @register("emb_outlier_labels", _out_sql() + "SELECT id, cluster FROM lab")
 def emb_outlier_labels(spark, sf):
-    """OUT-1: density labels on min-max scaled rows (-1 = outlier)."""
+    """OUT-1: one level of the density hierarchy on all 64 min-max scaled dimensions (-1 = outlier)."""
     return _out_labels(spark, sf)
 
 
@@ -175,3 +175,47 @@ def emb_outlier_counts(spark, sf):
     """OUT-1: shape before and after dropping the outliers (MTH-2 inside)."""
     return _out_labels(spark, sf).agg(F.count(F.lit(1)).alias("rows_before"),
                                       F.count_if(F.col("cluster") != -1).alias("rows_after"))
+
+
+def _hierarchy(spark, sf):
+    from reviewlab.operators.outliers import hierarchy_labels
+    from reviewlab.sources.fixtures import points_emb
+    return hierarchy_labels(points_emb(spark, sf, OUT_DIMS), [f"x{i + 1}" for i in range(OUT_DIMS)], OUT_MIN)
+
+
+@register("emb_hierarchy_labels")
+def emb_hierarchy_labels(spark, sf):
+    """OUT-1: stable clusters of the density hierarchy on all 64 min-max scaled dimensions, -1 = outlier (brute force in tests)."""
+    return _hierarchy(spark, sf)
+
+
+@register("emb_hierarchy_counts")
+def emb_hierarchy_counts(spark, sf):
+    """OUT-1: rows, rows kept and clusters of the density hierarchy."""
+    return _hierarchy(spark, sf).agg(F.count(F.lit(1)).alias("rows_before"), F.count_if(F.col("cluster") != -1).alias("rows_after"),
+                                     F.count_distinct(F.when(F.col("cluster") != -1, F.col("cluster"))).alias("n_clusters"))
+
+
+def _tree_sql() -> str:
+    """Sums over the tree: by the cut property each row's lightest edge is in it, and the weights' total is the least."""
+    return f"""WITH e AS ({VECTORS_EMB_SQL}),
+d AS (SELECT x.id AS a, y.id AS b, list_distance(x.v, y.v) AS dist FROM e x, e y WHERE x.id <> y.id),
+core AS (SELECT a AS id, dist AS core FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(dist, 9), b) AS rn FROM d) WHERE rn = {OUT_MIN}),
+ed AS (SELECT d.a, d.b, greatest(d.dist, ca.core, cb.core) AS w FROM d JOIN core ca ON d.a = ca.id JOIN core cb ON d.b = cb.id)
+SELECT a AS id, {r_sql('min(w)')} AS w FROM ed GROUP BY a"""
+
+
+@register("emb_reachability_nearest", _tree_sql())
+def emb_reachability_nearest(spark, sf):
+    """OUT-1: each row's lightest edge in the spanning tree of mutual reachability, which is its lightest of all."""
+    from reviewlab.operators.hierarchy import spanning_tree
+    tree = spanning_tree(vectors_emb(spark, sf).select("id", "v"), OUT_MIN)
+    ends = tree.select(F.explode(F.array("a", "b")).alias("id"), "w")
+    return ends.groupBy("id").agg(rnd(F.min("w")).alias("w"))
+
+
+@register("emb_reachability_tree")
+def emb_reachability_tree(spark, sf):
+    """OUT-1: the minimum spanning tree of mutual reachability (rows-only)."""
+    from reviewlab.operators.hierarchy import spanning_tree
+    return spanning_tree(vectors_emb(spark, sf).select("id", "v"), OUT_MIN).select("a", "b", rnd("w").alias("w"))
