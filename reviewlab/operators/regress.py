@@ -34,14 +34,19 @@ class Moments:
     my: float
     n: int
     intercept: bool
+    dropped: int = 0          # rows left out for a null or NaN in a regressor or the target
 
 
 def moments(df: DataFrame, features, target: str, intercept: bool = True) -> Moments:
-    """All pairwise products of the regressors and the target, after one pass for their means and scales."""
+    """All pairwise products of the regressors and the target, after one pass for their means and scales.
+
+    Both passes see the complete rows only: one with a null or NaN in any of these columns counts in ``dropped``.
+    """
     feats = list(features)
     k = len(feats)
-    rows = df.where(F.col(target).isNotNull()).select(
-        *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(feats)], F.col(target).cast("double").alias("y"))
+    every = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(feats)], F.col(target).cast("double").alias("y"))
+    rows = complete(every, every.columns)
+    dropped = every.count() - rows.count()
     first = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("my"), *[F.avg(f"x{i}").alias(f"m{i}") for i in range(k)],
                      *[(F.stddev_pop(f"x{i}") if intercept else F.max(F.abs(f"x{i}"))).alias(f"s{i}") for i in range(k)]).first()
     my = float(first["my"] or 0.0) if intercept else 0.0
@@ -55,7 +60,14 @@ def moments(df: DataFrame, features, target: str, intercept: bool = True) -> Mom
         for j in range(i, k + 1):
             full[i, j] = full[j, i] = sums[f"g_{i}_{j}"] or 0.0
     return Moments(["const"] + feats if intercept else feats, mean, scale, full[:k, :k], full[:k, k], float(full[k, k]), my,
-                   int(first["n"]), intercept)
+                   int(first["n"]), intercept, dropped)
+
+
+def complete(df: DataFrame, columns) -> DataFrame:
+    """Rows without a null or NaN in ``columns``."""
+    for c in columns:
+        df = df.where(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")))
+    return df
 
 
 @dataclass
@@ -83,6 +95,7 @@ class OLS:
     scale: np.ndarray = field(repr=False)
     Ginv: np.ndarray = field(repr=False)     # inverse of their z'z
     intercept: bool = True
+    dropped: int = 0
 
 
 def solve(spark, m: Moments, keep: list[str] | None = None) -> OLS:
@@ -120,7 +133,7 @@ def solve(spark, m: Moments, keep: list[str] | None = None) -> OLS:
     aic = -2 * llf + 2 * (k + c)
     bic = -2 * llf + math.log(m.n) * (k + c)
     return OLS(list(keep), beta, se, t, p, m.n, k, dfr, ssr, tss, r2, r2_adj, mse_model, fval, f_p, llf,
-               aic, bic, s2, mean, scale, Ginv, bool(c))
+               aic, bic, s2, mean, scale, Ginv, bool(c), m.dropped)
 
 
 def fit(df: DataFrame, features, target: str, intercept: bool = True) -> OLS:

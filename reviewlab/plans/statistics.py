@@ -85,6 +85,35 @@ def li_ols_t(spark, sf):
                                             rnd("t", 4).alias("t"))
 
 
+@register("li_ols_incomplete", LI + f"""
+, g AS (SELECT CASE WHEN l_partkey % 5 <> 0 THEN l_discount END AS x, CASE WHEN l_partkey % 7 <> 0 THEN l_quantity END AS z,
+               CASE WHEN l_partkey % 11 <> 0 THEN l_tax END AS y FROM li)
+, c AS (SELECT * FROM g WHERE x IS NOT NULL AND z IS NOT NULL AND y IS NOT NULL)
+, m AS (SELECT count(*) n, avg(y) my, avg(x) mx, avg(z) mz, covar_pop(x, x) a, covar_pop(x, z) b, covar_pop(z, z) d,
+               covar_pop(x, y) u, covar_pop(z, y) v FROM c)
+, e AS (SELECT *, (d * u - b * v) / (a * d - b * b) AS b1, (a * v - b * u) / (a * d - b * b) AS b2 FROM m)
+SELECT CAST(n AS BIGINT) AS n, CAST((SELECT count(*) FROM g) - n AS BIGINT) AS dropped, {r_sql('my - b1 * mx - b2 * mz')} AS const,
+       {r_sql('b1')} AS x, {r_sql('b2')} AS z FROM e""")
+def li_ols_incomplete(spark, sf):
+    """REG-1 on rows of which some lack a regressor or the target: the fit is that of the complete rows."""
+    some = lambda c, k: F.when(F.col("l_partkey") % k != 0, F.col(c))
+    g = _li(spark, sf).select(some("l_discount", 5).alias("x"), some("l_quantity", 7).alias("z"), some("l_tax", 11).alias("y"))
+    res = rg.fit(g, ["x", "z"], "y", intercept=True)
+    out = spark.createDataFrame([(res.n, res.dropped, *map(float, res.beta))], "n long, dropped long, const double, x double, z double")
+    return out.select("n", "dropped", *[rnd(c).alias(c) for c in ("const", "x", "z")])
+
+
+@register("li_f_statistic", LI + f"""
+, m AS (SELECT sum(l_quantity * l_quantity) a, sum(l_quantity * l_discount) b, sum(l_discount * l_discount) d,
+               sum(l_quantity * l_tax) u, sum(l_discount * l_tax) v, sum(l_tax * l_tax) yy, count(*) n FROM li)
+, e AS (SELECT *, (u * (d * u - b * v) + v * (a * v - b * u)) / (a * d - b * b) AS model FROM m)
+SELECT {r_sql('(model / 2) / ((yy - model) / (n - 2))', 3)} AS f FROM e""")
+def li_f_statistic(spark, sf):
+    """REG-4: the F statistic of a fit without a constant (``li_f_test`` has its p value)."""
+    res = rg.fit(_li(spark, sf), X3[:2], "l_tax", intercept=False)
+    return rg.goodness_table(spark, res).select(rnd("f", 3).alias("f"))
+
+
 @register("li_ols_goodness", LI + f"""
 , m AS (SELECT count(*) n, regr_r2(l_tax, l_discount) r2, regr_syy(l_tax, l_discount) tss FROM li)
 , s AS (SELECT *, tss * (1 - r2) AS ssr FROM m)

@@ -58,6 +58,19 @@ def test_ols_on_large_uncentred_values(spark):
     assert inside == n
 
 
+def test_ols_leaves_incomplete_rows_out_of_every_sum(spark):
+    rows = [(float(i), float(i % 3), 2.0 * i + 1 - (i % 3)) for i in range(50)]
+    more = [(None, 1.0, 500.0)] * 50 + [(1.0, None, 7.0), (2.0, 1.0, None), (float("nan"), 1.0, 3.0)]
+    df = spark.createDataFrame(rows + more, "x double, z double, y double")
+    got, want = regress.fit(df, ["x", "z"], "y"), regress.fit(df.limit(0).unionByName(spark.createDataFrame(rows, df.schema)), ["x", "z"], "y")
+    assert got.n == 50 and got.dropped == 53 and want.dropped == 0
+    assert np.allclose(got.beta, [1, 2, -1]) and np.allclose(got.beta, want.beta) and got.r2 > 0.999999
+    vifs = {r.feature: r.vif for r in regress.vif(df.where("y IS NOT NULL"), ["x", "z"]).collect()}
+    x = np.array([[r[0], r[1]] for r in rows])
+    g = x.T @ x
+    assert np.allclose([vifs["x"], vifs["z"]], np.diag(g) * np.diag(np.linalg.inv(g)))
+
+
 def test_feature_scores_of_a_small_spread_on_a_large_mean(spark):
     from reviewlab.operators.features import feature_engineering
     df = spark.createDataFrame([(i, f"d{i % 3}", 10 ** 9 + i % 5) for i in range(60)], "id long, drugName string, usefulCount long")
