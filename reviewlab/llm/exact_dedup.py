@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.llm.storage import stash
+from reviewlab.llm.storage import few, stash
 
 PREFIX_CHARS = 64
 #: Ids that may be broadcast to pick out the rows to hash in full: 8 bytes each, so 4 MB.
@@ -77,7 +77,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lost = stash(lost, "dedup-lost")
     # an id may repeat with another text, so the text's length and prefix decide too
     _, n_bytes, prefix = _keys(docs[id_col], docs[text_col], bounds.get("prefix_chars", PREFIX_CHARS))
-    return docs.join(lost, docs[id_col].eqNullSafe(lost["lost_id"]) & (n_bytes == lost["lost_bytes"])
+    return docs.join(few(lost), docs[id_col].eqNullSafe(lost["lost_id"]) & (n_bytes == lost["lost_bytes"])
                      & (prefix == lost["lost_prefix"]), "left_anti")
 
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.llm.storage import in_batches, stash
+from reviewlab.llm.storage import few, in_batches, stash
 from reviewlab.llm.textkernel import Words, mix64, shingles, slices
 from reviewlab.operators.graph import connected_components
 
@@ -242,8 +242,8 @@ def _decisions(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5, pe
     shared = bucket.groupBy("key").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("key")
     bucket = stash(bucket.join(shared, "key"), "near-buckets")
     # the texts of the classes that share a bucket with another, one row's for each class
-    used = bucket.select("cls").distinct().join(classes.select("cls", "rep"), "cls")
-    bodies = texts.join(used, F.col("id").eqNullSafe(F.col("rep.id")) & (_fingerprint(F.col("body")) == F.col("rep.fp")))
+    used = stash(bucket.select("cls").distinct().join(classes.select("cls", "rep"), "cls"), "near-used")
+    bodies = texts.join(few(used), F.col("id").eqNullSafe(F.col("rep.id")) & (_fingerprint(F.col("body")) == F.col("rep.fp")))
     bodies = stash(bodies.select("cls", "body"), "near-texts")
     pairs = stash(_star(bucket, percent), "near-pairs")
     sides = pairs.join(bodies.select(F.col("cls").alias("a"), F.col("body").alias("body_a")), "a").join(
@@ -280,5 +280,5 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lost = (_decisions(docs, id_col, text_col, **options).where(~F.col("id").eqNullSafe(F.col("component")))
             .select(F.col("id").alias("lost_id"), F.col("fp").alias("lost_fp")).distinct())
     lost = stash(lost, "near-lost")
-    return docs.join(lost, docs[id_col].eqNullSafe(lost["lost_id"])
+    return docs.join(few(lost), docs[id_col].eqNullSafe(lost["lost_id"])
                      & (_fingerprint(docs[text_col]) == lost["lost_fp"]), "left_anti")
