@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from reviewlab.operators import balance as bl
 from reviewlab.operators import knn
+from reviewlab.operators.sampling import stratified_folds
 from reviewlab.operators.stats import arg_extreme
 from reviewlab.plans.registry import r_sql, register, rnd
+from reviewlab.session import stash
 from reviewlab.sources.fixtures import (
     VECTORS_EMB_SQL, features_doc, features_doc_sql, split_bucket, split_bucket_sql, vectors_emb,
 )
@@ -126,6 +128,54 @@ def doc_knn_distance_euclidean(spark, sf):
     return _knn_pred(spark, sf, "euclidean", "distance")
 
 
+TUNE_K = 15
+
+
+def _tuning_cte() -> str:
+    """Votes of the TUNE_K nearest rows outside the own fold, for every candidate of the search."""
+    euclid = "sqrt(" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in FEATS) + ")"
+    city = " + ".join(f"abs(a.{c} - b.{c})" for c in FEATS)
+    return f"""WITH fd AS ({features_doc_sql()}),
+fo AS (SELECT *, ntile(5) OVER (PARTITION BY label ORDER BY id) - 1 AS fold FROM fd WHERE {split_bucket_sql('id')} <> 0),
+d AS (SELECT m.metric, a.id AS qid, a.fold, a.label, b.id AS rid, b.label AS nlabel,
+             CASE WHEN m.metric = 'euclidean' THEN {euclid} ELSE {city} END AS dist
+      FROM fo a JOIN fo b ON a.fold <> b.fold, (SELECT unnest(['euclidean', 'manhattan']) AS metric) m),
+nb AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY metric, qid ORDER BY round(dist, 9), rid) <= {TUNE_K}),
+z AS (SELECT *, max(CASE WHEN dist = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY metric, qid) AS hz FROM nb),
+w AS (SELECT z.*, x.weights, CASE WHEN x.weights = 'uniform' THEN 1.0::DOUBLE WHEN hz = 1 THEN CAST(dist = 0 AS DOUBLE) ELSE 1.0 / dist END AS w
+      FROM z, (SELECT unnest(['uniform', 'distance']) AS weights) x),
+v AS (SELECT metric, weights, fold, qid, label, sum(CASE WHEN nlabel = 1 THEN w ELSE 0.0 END) AS w1, sum(w) AS wt FROM w GROUP BY ALL),
+acc AS (SELECT metric, weights, CAST(fold AS INTEGER) AS fold, count(*) AS n,
+               avg(CAST(CAST(w1 > wt - w1 AS INTEGER) = label AS DOUBLE)) AS accuracy FROM v GROUP BY ALL)
+"""
+
+
+def _folded(spark, sf):
+    tr, te = _fd_split(spark, sf)
+    return stratified_folds(_vec(tr), "label", 5), te
+
+
+@register("doc_knn_tuning", _tuning_cte() + f"SELECT metric, weights, fold, n, {r_sql('accuracy')} AS accuracy FROM acc")
+def doc_knn_tuning(spark, sf):
+    """CLS-6: the 5-fold search over weights and metric, every fold's accuracy of every candidate."""
+    train, _ = _folded(spark, sf)
+    t = knn.tuned_votes(train, TUNE_K)
+    return t.select("metric", "weights", F.col("fold").cast("int").alias("fold"), "n", rnd("accuracy").alias("accuracy"))
+
+
+@register("doc_knn_tuned", _tuning_cte() + f""",
+me AS (SELECT metric, weights, avg(accuracy) AS mean FROM acc GROUP BY ALL),
+best AS (SELECT metric, weights, mean FROM me ORDER BY round(mean, 12) DESC, metric, weights DESC LIMIT 1)
+SELECT metric, weights, {r_sql('mean')} AS mean_accuracy FROM best""")
+def doc_knn_tuned(spark, sf):
+    """CLS-6: the candidate of the highest mean accuracy, the first of equals."""
+    train, _ = _folded(spark, sf)
+    table = stash(knn.tuned_votes(train, TUNE_K), "knn-tuning")
+    metric, weights = knn.best_votes(table)
+    mine = table.where((F.col("metric") == metric) & (F.col("weights") == weights))
+    return mine.groupBy("metric", "weights").agg(rnd(F.avg("accuracy")).alias("mean_accuracy"))
+
+
 @register("emb_knn_ties", EMB + f"""
 , g AS (SELECT id, [floor(x * 2) FOR x IN v[1:6]] AS v FROM e)
 , d AS (SELECT te.id AS qid, tr.id AS rid, list_distance(te.v, tr.v) AS dist FROM g te, g tr
