@@ -12,16 +12,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewlab.operators.automaton import last_patterns
 from reviewlab.session import cut_lineage
 from reviewlab.functions.text import (
-    EXCLUDED_CONDITIONS, HELPFUL_MARKER, clean_review, clean_text, condition_pattern,
-    is_marker, upper_word_count, word_count,
+    EXCLUDED_CONDITIONS, HELPFUL_MARKER, clean_review, clean_text, is_marker, upper_word_count, word_count,
 )
 
 # Splits text into alternating maximal runs of [a-z] and of other characters.
 _RUN_SPLIT = "(?<=[a-z])(?=[^a-z])|(?<=[^a-z])(?=[a-z])"
-# Bound for broadcasting the conditions that need a regex scan.
-MAX_REGEX_CONDITIONS = 20_000
 
 
 def any_null(df: DataFrame, cols=None) -> Column:
@@ -117,8 +115,7 @@ def match_conditions(rows: DataFrame, conds: DataFrame, id_col: str = "id", text
     Conditions that begin and end with a letter a-z can only match whole runs
     of a-z characters, so their matches are found by an equi-join between the
     conditions and the run sequences of each text (t runs for a condition of
-    t runs).  The rest (rare) use a regex join against a broadcast list whose
-    size is checked first.
+    t runs).  All others are found by one walk of an automaton over each text.
     """
     spark = rows.sparkSession
     # the ordered condition list is small; materialise it once so the driver
@@ -152,17 +149,8 @@ def match_conditions(rows: DataFrame, conds: DataFrame, id_col: str = "id", text
         # its threshold splits a very frequent candidate's partition
         parts.append(exploded.join(known, "_c"))
     if n_irr:
-        # a regex join needs a broadcast side; above the bound the conditions
-        # are taken in broadcast-sized chunks (never a Cartesian product)
-        from reviewlab.operators.indexing import ordered_index
-        n_chunks = -(-n_irr // MAX_REGEX_CONDITIONS)
-        irr = irregular if n_chunks == 1 else ordered_index(irregular, ["_c"], out="_i")
-        texts = rows.select(id_col, text)
-        for k in range(n_chunks):
-            part = irr if n_chunks == 1 else irr.where(
-                F.floor(F.col("_i") / MAX_REGEX_CONDITIONS) == k).drop("_i")
-            hit = texts.join(F.broadcast(part), F.regexp_like(F.col(text), condition_pattern(F.col("_c"))))
-            parts.append(hit.select("_c", id_col, "first_id"))
+        hit = last_patterns(rows, irregular, id_col, text, "_c", "first_id")
+        parts.append(hit)
     if not parts:
         return spark.createDataFrame([], f"{id_col} bigint, {cond} string")
     allm = reduce(lambda a, b: a.unionByName(b), [p.select(id_col, "_c", "first_id") for p in parts])

@@ -12,6 +12,7 @@ from reviewlab.plans.sqltext import (
     clean_review_sql, clean_text_sql, marker_null_sql, tokens_sql, upper_count_sql, word_count_sql,
 )
 from reviewlab.sources.fixtures import REVIEWS_DOC_SQL, reviews_doc
+from reviewlab.sources.io import read_table
 
 COLS = ["id", "drugName", "condition", "review", "rating", "usefulCount", "word_count", "upper_count"]
 NULL_ANY = " OR ".join(f"{c} IS NULL" for c in COLS)
@@ -126,6 +127,18 @@ def doc_text_match(spark, sf):
     return cl.match_conditions(still.select("id", "review"), cl.condition_order(after))
 
 
+@register("doc_text_match_mixed", f"""WITH d AS (SELECT doc_id AS id, text AS review, regexp_extract(text, '[A-Z][A-Za-z]*[ -][A-Za-z]+') AS head FROM documents),
+k AS (SELECT head AS condition, min(id) AS first_id FROM d WHERE id % 3 = 0 AND head <> '' GROUP BY head)
+SELECT id, condition FROM (SELECT d.id, k.condition, row_number() OVER (PARTITION BY d.id ORDER BY k.first_id DESC) AS rn
+  FROM d JOIN k ON regexp_matches(d.review, '[^a-z]' || regexp_escape(k.condition) || '[^a-z|s]')) WHERE rn = 1""")
+def doc_text_match_mixed(spark, sf):
+    """JN-3 on conditions that begin with a capital: every text takes the last known one found in it."""
+    d = read_table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("review"))
+    head = F.regexp_extract("review", "[A-Z][A-Za-z]*[ -][A-Za-z]+", 0)
+    known = d.where(F.col("id") % 3 == 0).select("id", head.alias("condition")).where("condition <> ''")
+    return cl.match_conditions(d, known.groupBy("condition").agg(F.min("id").alias("first_id")))
+
+
 @register("doc_clean_data", TEXT_CTE + f"SELECT * FROM d3 WHERE {NULL_NONE}")
 def doc_clean_data(spark, sf):
     """PIPE-1: the whole clean_data step (FLT-3 at the end)."""
