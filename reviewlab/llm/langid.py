@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from reviewlab.llm.storage import in_batches, stash
 from reviewlab.llm.textkernel import slices
+from reviewlab.llm.workercache import lean
 
 ORDER, BITS = 4, 6
 CALIBRATION_SHARE, QUANTILE, FEW = 0.2, 0.99, 100
@@ -262,13 +263,13 @@ def _scores(rows: DataFrame, model: Model) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(model)
     id_type = rows.schema["id"].dataType.simpleString()
     return in_batches(rows).select("id", "text").mapInArrow(
-        _scorer(shared), f"id {id_type}, lang_pred string, score double, rejected boolean, entropy double, symbols long")
+        lean(_scorer(shared)), f"id {id_type}, lang_pred string, score double, rejected boolean, entropy double, symbols long")
 
 
 def train(labelled: DataFrame, calibration_share: float = CALIBRATION_SHARE) -> Model:
     """Models of (id, text, lang) rows: counts over all of them, calibration over a share of them."""
     labelled = labelled.withColumn("part", (F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(calibration_share * (1 << 30))).cast("int"))
-    counts = stash(in_batches(labelled).select("text", "lang", "part").mapInArrow(_count, "lang string, part int, code long, n long")
+    counts = stash(in_batches(labelled).select("text", "lang", "part").mapInArrow(lean(_count), "lang string, part int, code long, n long")
                    .groupBy("lang", "part", "code").agg(F.sum("n").alias("n")), "lang-counts").toPandas()
     if not len(counts):
         return Model([], np.zeros((1 << BITS, 0)), {}, {})

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from reviewlab.llm.storage import few, in_batches, stash
 from reviewlab.llm.textkernel import Words, mix64, shingles, slices
+from reviewlab.llm.workercache import give_back, lean
 from reviewlab.operators.graph import connected_components
 
 PERMS, ROWS = 132, 6
@@ -159,6 +160,8 @@ def _compared(k: int, percent: int):
         for t in np.unique(tile):
             at = np.flatnonzero(tile == t)
             found += links(cls[at], comp[at], side[at], [sets[i] for i in at])
+        del sets
+        give_back()
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
     return run
 
@@ -231,7 +234,7 @@ def _decisions(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5, pe
     texts = in_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
     id_type = texts.schema["id"].dataType.simpleString()
     sketch = stash(texts.withColumn("fp", _fingerprint(F.col("body")))
-                   .mapInArrow(_sketcher(shingle, perms, rows),
+                   .mapInArrow(lean(_sketcher(shingle, perms, rows)),
                                f"id {id_type}, fp long, n long, cls long, bands array<long>"), "near-sketch")
     # documents with equal sets are one class from here on
     classes = (sketch.where("n > 0").groupBy("cls")
@@ -248,7 +251,7 @@ def _decisions(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5, pe
     pairs = stash(_star(bucket, percent), "near-pairs")
     sides = pairs.join(bodies.select(F.col("cls").alias("a"), F.col("body").alias("body_a")), "a").join(
         bodies.select(F.col("cls").alias("b"), F.col("body").alias("body_b")), "b").select("a", "b", "body_a", "body_b")
-    links = stash(sides.mapInArrow(_verifier(shingle, percent), "a long, b long"), "near-links")
+    links = stash(sides.mapInArrow(lean(_verifier(shingle, percent)), "a long, b long"), "near-links")
     label = None if links.isEmpty() else _components(links)
     more = _family_links(bucket, label, bodies, shingle, percent)
     if more is not None:
