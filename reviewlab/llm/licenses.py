@@ -6,9 +6,11 @@ k-grams are exploded and joined to the templates' k-grams by hash, their words
 compared too.  A match at word p of a text and word t of a template votes for the
 diagonal p - t, the place where the template would start.  A phrase stands where its
 diagonal has all its votes.  For notices, diagonals at most ``GAP`` apart are merged
-(words put in or left out shift the rest), and a span counts if it holds ``COVER`` of
-the template's k-grams; the join has compared their words, so a span is verified by
-counting its distinct template places.
+(words put in or left out shift the rest), and a merged span with votes for ``COVER`` of the
+template's k-grams is verified: its matches are aligned with the template in order, a match following
+another only if it stands later in both and no more than ``GAP`` words were put in between.
+The span counts if ``COVER`` of the template's k-grams lie on one such alignment, so
+shuffled, reversed or scattered words of a notice aren't one.
 
 Only the template table, whose size is fixed by its texts, is broadcast.
 
@@ -77,6 +79,28 @@ def templates(spark, phrases=None, notices=None) -> DataFrame:
         "size", F.size(words(F.col("body"))) - (K - 1))
 
 
+def _aligned(matches: str, size: str) -> Column:
+    """The largest number of matches (p in the text, -t in the template) that follow each other in both.
+
+    Matches are taken by text place, later template places first, so one place follows itself never.  For each
+    template place the last alignment that ends there is kept: its length and its place in the text.
+    """
+    none = F.struct(F.lit(0).alias("n"), F.lit(-(1 << 30)).alias("p"))
+
+    def step(acc: Column, m: Column) -> Column:
+        cells, t, p = acc["cells"], -m["back"], m["p"]
+        before = F.transform(F.slice(cells, F.lit(1), t), lambda q, j: F.when(
+            (q["n"] > 0) & (q["p"] < p) & ((p - q["p"]) - (t - j) <= GAP), q["n"]).otherwise(0))
+        n = F.coalesce(F.array_max(before), F.lit(0)) + 1
+        now = F.struct(n.cast("int").alias("n"), p.cast("int").alias("p"))
+        # a shorter alignment takes the place of a longer one only out of whose reach it is
+        held = F.transform(cells, lambda q, i: F.when((i == t) & ((n >= q["n"]) | (p - q["p"] > GAP)), now).otherwise(q))
+        return F.struct(F.greatest(acc["best"], n.cast("int")).alias("best"), held.alias("cells"))
+
+    start = F.struct(F.lit(0).alias("best"), F.array_repeat(none, F.col(size)).alias("cells"))
+    return F.aggregate(F.array_sort(matches), start, step, lambda acc: acc["best"])
+
+
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **sets) -> DataFrame:
     """(doc, template, label, phrase, start, cover): where templates stand; doc is the id and a hash of the text."""
     known = templates(docs.sparkSession, **sets)
@@ -92,13 +116,15 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **set
              .agg(F.collect_set("at").alias("at")))
     votes = stash(votes, "licence-votes")
     exact = votes.where("phrase AND size(at) = size").select("doc", "template", F.col("diagonal").alias("start"), F.lit(1.0).alias("cover"))
+    matches = F.flatten(F.collect_list(F.transform("at", lambda t: F.struct((F.col("diagonal") + t).cast("int").alias("p"), (-t).cast("int").alias("back")))))
     by = Window.partitionBy("doc", "template").orderBy("diagonal")
     fuzzy = (votes.where("NOT phrase")
              .withColumn("opens", (F.col("diagonal") - F.coalesce(F.lag("diagonal").over(by), F.lit(-1 << 30)) > GAP).cast("int"))
              .withColumn("island", F.sum("opens").over(by))
              .groupBy("doc", "template", "size", "island")
-             .agg(F.min("diagonal").alias("start"), F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n"))
-             .select("doc", "template", "start", (F.col("n") / F.col("size")).alias("cover")).where(F.col("cover") >= COVER))
+             .agg(F.min("diagonal").alias("start"), F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n"), matches.alias("matches"))
+             .where(F.col("n") >= COVER * F.col("size"))
+             .select("doc", "template", "start", (_aligned("matches", "size") / F.col("size")).alias("cover")).where(F.col("cover") >= COVER))
     return exact.unionByName(fuzzy).join(F.broadcast(known.select("template", "label", "phrase")), "template")
 
 

@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 import pytest
 
 from reviewlab.llm import licenses
@@ -61,3 +62,43 @@ def test_neighbouring_diagonals_merge(spark, drop):
     text = " ".join(words[:drop] + words[drop + 1:])
     got = licenses.spans(frame(spark, [(1, "a b c " + text)])).collect()
     assert [(r.label, r.start) for r in got] == [("mit", 2)]
+
+
+def aligned(words, notice):
+    """The longest alignment of two-word runs: each match later in both than the one before, at most GAP words put in."""
+    grams = lambda w: list(zip(w, w[1:]))
+    at = [(p, t) for p, g in enumerate(grams(words)) for t, h in enumerate(grams(notice)) if g == h]
+    best = {}
+    for p, t in at:
+        best[p, t] = 1 + max((n for (q, s), n in best.items() if q < p and s < t and (p - q) - (t - s) <= licenses.GAP), default=0)
+    return max(best.values(), default=0) / max(1, len(notice) - 1)
+
+
+def test_notices_need_their_order(spark):
+    rng = np.random.default_rng(3)
+    notices = [(n.split(), label) for n, label in licenses.NOTICES]
+    rows = []
+    for words, _ in notices:
+        rows += [words, words[::-1], [w for pair in zip(words[::2], words[1::2]) for w in pair[::-1]]]
+        # word pairs kept, their order reversed
+        rows.append([w for i in range(len(words) - 2, -1, -2) for w in words[i:i + 2]])
+        rows.append([w for x in words for w in (x, "and", "then", "also", "more")])
+        rows.append(words * 3)
+        rows.append(words[:len(words) // 2] + ["filler"] * 6 + words[len(words) // 2:])
+        for _ in range(4):
+            own = list(words)
+            for _ in range(rng.integers(1, 4)):
+                at = rng.integers(len(own))
+                own[at:at + 1] = [[], [own[at], "so"], ["other"]][rng.integers(3)]
+            rows.append(["before"] * int(rng.integers(0, 5)) + own + ["after"])
+    texts = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    got = {r.doc_id: set(r.labels.split(",")) - {""} for r in licenses.scan(frame(spark, texts)).collect()}
+    wrong = []
+    for i, words in enumerate(rows):
+        want = {label for phrase, label in licenses.PHRASES if f" {phrase} " in f" {' '.join(words)} "}
+        want |= {label for notice, label in notices if aligned(words, notice) >= licenses.COVER}
+        if got[i] != want:
+            wrong.append((" ".join(words), got[i], want))
+    assert not wrong, wrong[:3]
+    gpl = "version 3 license version public license general public gnu general the gnu under the licensed under"
+    assert {r.labels for r in licenses.scan(frame(spark, [(1, gpl)])).collect()} == {""}
