@@ -9,8 +9,9 @@ document's logit is its highest window's.
 Training sees at most ``TRAIN_ROWS`` labelled documents of each label, of at most
 ``TRAIN_BYTES`` bytes, picked by a hash of the id: a bound on what reaches the driver.
 The loss is on documents: the windows' logits are pooled by a soft maximum, so a
-label needn't hold for every window.  A fifth of the sample is kept out to calibrate
-the score (Platt), which is then moved to the label shares of all labelled rows.
+label needn't hold for every window.  A training takes ``STEPS`` steps whatever the sample.
+The score is calibrated (Platt) on logits that ``FOLDS`` networks give to the parts of the sample
+which they weren't trained on, and then moved to the label shares of all labelled documents.
 
 Defined results: null and empty texts and texts without words have score 0; without
 labels of both kinds all scores are 0; several labels of a document count as toxic if
@@ -31,11 +32,11 @@ from pyspark.sql import functions as F
 from reviewlab.llm.storage import in_batches
 from reviewlab.llm.textkernel import ALNUM, Words, mix64, slices
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
 TRAIN_ROWS, TRAIN_BYTES = 1000, 12_000
 WORD_BITS, TRIGRAM_BITS = 15, 13
 WORD_DIM, TRIGRAM_DIM, HIDDEN, ATTENTION = 12, 8, 8, 8
-EPOCHS, BATCH, RATE, SHARPNESS = 5, 32, 0.01, 1.0
+STEPS, BATCH, RATE, SHARPNESS, FOLDS = 250, 32, 0.01, 1.0, 3
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -207,16 +208,18 @@ def document_logits(network: Network, buf: np.ndarray, words: Words) -> np.ndarr
     return out
 
 
-def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOCHS, seed: int = 5) -> Network:
-    """Train on a sample of documents; ``share`` is that of label 1 among all labelled rows."""
+def trained(texts: list[str], labels: np.ndarray, steps: int = STEPS, seed: int = 5) -> Network:
+    """A network after ``steps`` steps over batches of the texts, in an order of their own each time round."""
     rng = np.random.default_rng(seed)
-    order = rng.permutation(len(texts))
-    held, learn = order[:len(order) // 5], order[len(order) // 5:]
+    learn = rng.permutation(len(texts))
     net = Network(seed)
     first, second = ({k: np.zeros_like(v) for k, v in net.p.items()} for _ in range(2))
     step = 0
-    for _ in range(epochs):
+    while step < steps:
+        before = step
         for lo in range(0, len(learn), BATCH):
+            if step == steps:
+                break
             own = learn[lo:lo + BATCH]
             distinct, start, length, row = _windowed([texts[i] for i in own])
             if not len(start):
@@ -238,10 +241,28 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOCHS
                 second[k] += 0.001 * (g * g - second[k])
                 rate = RATE * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step)
                 net.p[k] -= (rate * first[k] / (np.sqrt(second[k]) + 1e-8)).astype(np.float32)
+        if step == before:
+            break  # no text has words
         learn = rng.permutation(learn)
-    # Platt scaling on what was kept out, targets smoothed, then the shift to all labels' share
-    x, y = document_logits(net, *_texts([texts[i] for i in held])), labels[held]
-    x, y = x[np.isfinite(x)], y[np.isfinite(x)]
+    return net
+
+
+def fit(texts: list[str], labels: np.ndarray, share: float, steps: int = STEPS, seed: int = 5, folds: int = FOLDS) -> Network:
+    """Train on a sample of documents; ``share`` is that of label 1 among all labelled documents."""
+    net = trained(texts, labels, steps, seed)
+    # parts of equal label shares; each is scored by a network that hasn't seen it
+    part = np.empty(len(texts), np.int64)
+    for label in (0, 1):
+        own = np.flatnonzero(labels == label)
+        part[np.random.default_rng(seed + label).permutation(own)] = np.arange(len(own)) % folds
+    x = np.full(len(texts), -np.inf)
+    for f in range(folds):
+        seen = [i for i in range(len(texts)) if part[i] != f]
+        left = np.flatnonzero(part == f)
+        if len(left) and 0 < labels[seen].sum() < len(seen):
+            x[left] = document_logits(trained([texts[i] for i in seen], labels[seen], steps, seed), *_texts([texts[i] for i in left]))
+    # Platt scaling on these, targets smoothed, then the shift to all labels' share
+    x, y = x[np.isfinite(x)], labels[np.isfinite(x)]
     ones, zeros = y.sum(), (1 - y).sum()
     if ones and zeros:
         target = np.where(y == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
@@ -276,6 +297,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     """A network from a bounded sample of the labelled rows outside the held-out quarter."""
     known = (labels.where(F.col(label_col).isNotNull() & (F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 != 2))
              .groupBy(F.col(id_col).alias("own")).agg(F.max(label_col).cast("int").alias("y")))
+    known = known.join(docs.select(F.col(id_col).alias("there")), F.col("own") == F.col("there"), "left_semi")
     counts = {r.y: r.n for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts.get(0) or not counts.get(1):
         return None

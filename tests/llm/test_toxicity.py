@@ -76,3 +76,23 @@ def test_held_out_texts_and_edges(spark):
     none = toxicity.score(docs, labels.where("toxic = 0")).collect()
     assert {r.score for r in none} == {0.0}
     assert toxicity.score(docs.limit(0), labels).collect() == []
+
+
+def test_labels_without_a_document_change_nothing(spark):
+    rows = corpus(160)
+    docs = frame(spark, rows)
+    labels = [(i, int(i % 4 == 0)) for i in range(160)]
+    more = labels + [(10_000 + i, 1) for i in range(4000)]
+    a, b = ({r.doc_id: r.score for r in toxicity.score(docs, spark.createDataFrame(x, "doc_id long, toxic int")).collect()} for x in (labels, more))
+    assert a == b and 0.1 < np.mean(list(a.values())) < 0.5
+
+
+def test_few_labels_still_find_the_held_out():
+    """Some thirty labelled toxic texts; the network takes as many steps as with many."""
+    rows = corpus(400)
+    texts, y = [t for _, t in rows], np.array([i % 4 == 0 for i, _ in rows], float)
+    for n in (130, 300):
+        net = toxicity.fit(texts[:n], y[:n], 0.25)
+        logit = toxicity.document_logits(net, *toxicity._texts(texts[300:]))
+        score = toxicity._sigmoid(net.slope * logit + net.shift)
+        assert (score[y[300:] == 1] >= 0.3).mean() >= 0.7 and (score[y[300:] == 0] >= 0.3).mean() <= 0.2
