@@ -88,9 +88,17 @@ def decode(df: DataFrame, col: str, dim: DataFrame, code_col: str, name_col: str
 
 
 # ---------------------------------------------------------------- JN-2
-def drug_lookup(df: DataFrame, key: str = "drugName", value: str = "condition", order: str = "id") -> DataFrame:
-    """(key, value of the first row for that key); the value may be null."""
-    return keep_first(df.where(F.col(key).isNotNull()).select(order, key, value), [key]).select(key, value)
+def drug_lookup(df: DataFrame, key: str = "drugName", value: str = "condition", order: str = "id", how: str = "first") -> DataFrame:
+    """(key, value): with ``first`` that of the first row for the key, which may be null; with ``mode`` the
+    most common one that isn't null, of equally common ones that which appears first."""
+    if how == "first":
+        return keep_first(df.where(F.col(key).isNotNull()).select(order, key, value), [key]).select(key, value)
+    if how != "mode":
+        raise ValueError(f"how must be first or mode, not {how!r}")
+    counts = (df.where(F.col(key).isNotNull() & F.col(value).isNotNull()).groupBy(key, value)
+              .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_first")))
+    # the smallest of (-count, first row)
+    return counts.groupBy(key).agg(F.min_by(value, F.struct(-F.col("_n"), F.col("_first"))).alias(value))
 
 
 def impute_by_key(rows: DataFrame, lookup: DataFrame, key: str = "drugName", value: str = "condition") -> DataFrame:

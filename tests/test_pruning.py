@@ -67,13 +67,11 @@ def test_every_alpha_gives_the_cheapest_smallest_subtree(kind, seed):
 
 def test_a_hundred_thousand_leaves_in_linear_memory():
     rng = np.random.default_rng(1)
-    peaks = []
-    for leaves in (25_000, 100_000):
-        tree = grown(rng, leaves)
-        tracemalloc.start()
-        links = weakest_links(tree, "gini")
-        right = right_answers(tree, links, np.where((tree.left < 0)[:, None], 1.0, 0.0) * np.ones((1, 2)))
-        peaks.append(tracemalloc.get_traced_memory()[1])
-        tracemalloc.stop()
-        assert links[1][-1] == 0 and len(right) == len(links[0]) + 1
-    assert peaks[1] < 6 * peaks[0] and peaks[1] < 400 << 20
+    tree = grown(rng, 100_000)
+    tracemalloc.start()
+    links = weakest_links(tree, "gini")
+    right = right_answers(tree, links, np.where((tree.left < 0)[:, None], 1.0, 0.0) * np.ones((1, 2)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert links[1][-1] == 0 and len(right) == len(links[0]) + 1
+    assert peak < 250 << 20  # some hundred numbers a node at most, where sets of every step would take 10,000
