@@ -80,3 +80,32 @@ def test_votes_outside_a_rows_own_fold(spark):
         for f in range(5):
             own = fold == f
             assert got[how, weights, f] == (own.sum(), round(right[own].mean(), 9))
+
+
+def test_rows_are_sent_once_where_nothing_can_be_ruled_out(spark):
+    rng = np.random.default_rng(9)
+    rows = frame(spark, list(enumerate(rng.normal(size=(400, 24))))).withColumn("tag", F.lit(0).cast("long")).withColumn("bound", F.lit(float("inf")))
+    parts = metric.fit(rows, block_rows=40)
+    assert int(parts.blocks.sum()) > 5
+    every = lambda r, away, home: np.ones(away.shape, bool)
+    assert metric._visits(rows, parts, every, 1).count() == 400
+
+
+def test_what_a_row_finds_is_merged_over_its_blocks(spark):
+    rng = np.random.default_rng(10)
+    pts = rng.normal(size=(300, 5))
+    rows = frame(spark, list(enumerate(pts))).withColumn("tag", F.col("id") % 3).withColumn("bound", F.lit(float("inf")))
+    parts = metric.fit(rows, block_rows=30)
+    found = metric.visit(rows, metric.with_parts(rows, parts, ("tag",)), parts, knn._label_sums, "qid long, cluster long, dsum double, cnt long",
+                         merge=metric.summed(["qid", "cluster"], ["dsum", "cnt"])).collect()
+    assert len(found) == 300 * 3
+    want = metric.distances(pts, pts, "euclidean")
+    for r in found:
+        own = np.arange(300) % 3 == r.cluster
+        assert r.cnt == own.sum() and abs(r.dsum - want[r.qid, own].sum()) < 1e-9
+
+
+def test_distances_of_copies_are_zero_far_from_the_mean():
+    v = np.repeat(np.random.default_rng(11).normal(size=(4, 6)) * 1e4, 5, axis=0)
+    got = metric.Block(metric.Rows(*(np.arange(20),), v, *(np.zeros(20) for _ in range(3))), "euclidean").apart(v)
+    assert np.allclose(got, metric.distances(v, v, "euclidean"), atol=1e-7) and (got[0, :5] == 0).all()
