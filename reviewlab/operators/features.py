@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlab.operators.indexing import ordered_index
+from reviewlab.session import few
 
 
 # ---------------------------------------------------------------- ENC-1
@@ -24,8 +25,10 @@ def fit_label_codes(df: DataFrame, col: str) -> DataFrame:
 
 
 def apply_label_codes(df: DataFrame, col: str, codes: DataFrame) -> DataFrame:
-    """Replace ``col`` by its code; unknown or null -> -1 (pandas ``cat.codes``)."""
-    joined = df.join(codes, col, "left")
+    """Replace ``col`` by its code; unknown or null -> -1 (pandas ``cat.codes``).
+
+    A dictionary of bounded size is broadcast: by their values, rows would meet in as few tasks as there are values."""
+    joined = df.join(few(codes), col, "left")
     return joined.select(*[F.coalesce(F.col("_code"), F.lit(-1)).alias(c) if c == col else F.col(c)
                            for c in df.columns])
 
@@ -143,7 +146,7 @@ def feature_engineering(df: DataFrame, categorical=("drugName", "condition", "da
         (F.sum(F.col("_n") * F.col("_n")) / F.sum("_n")).alias("avg_n")).first()
     flags = per_key.where(F.col(key).isNotNull()).select(
         key, F.col("_avg"), (F.col("_n") > F.lit(tot["avg_n"])).cast("int").alias("reviewFrequency"))
-    d = df.join(flags, key, "left").withColumns({
+    d = df.join(few(flags), key, "left").withColumns({
         "reviewQuality": F.coalesce(F.col(useful) > F.col("_avg"), F.lit(False)).cast("int"),
         "reviewFrequency": F.coalesce(F.col("reviewFrequency"), F.lit(0)),
         "usefulStandardized": _z(useful, *fits[useful], zero_sd_as_one=False),

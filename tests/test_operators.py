@@ -202,7 +202,7 @@ def test_gaussian_nb_probabilities(spark):
         assert r["prediction"] == int(r["probability"] > 0.5)
 
 
-def test_text_match_regular_and_irregular(spark, monkeypatch):
+def test_text_match_regular_and_irregular(spark):
     import re
 
     from reviewlab.operators import clean as cl
@@ -211,7 +211,6 @@ def test_text_match_regular_and_irregular(spark, monkeypatch):
     conds = [("acne", 10), ("high blood pressure", 20), ("cold", 30), ("2 diabetes", 40), ("sore ", 50)]
     rows = spark.createDataFrame(list(texts.items()), "id long, review string")
     cd = spark.createDataFrame(conds, "condition string, first_id long")
-    monkeypatch.setattr(cl, "MAX_REGEX_CONDITIONS", 1)  # exercise the chunked regex path
     got = {r["id"]: r["condition"] for r in cl.match_conditions(rows, cd).collect()}
     exp = {}
     for i, t in texts.items():
@@ -256,3 +255,13 @@ def test_components_of_chains_stars_and_random_graphs(spark):
                                spark.createDataFrame(edges, "src long, dst long")).collect()
     assert {r["id"]: r["component"] for r in got} == {n: root(n) for n in nodes}
     assert connected_components(spark.createDataFrame([(1,)], "id long"), spark.createDataFrame([], "src long, dst long")).collect() == [(1, 1)]
+
+
+def test_codes_and_flags_leave_rows_where_they_are(spark):
+    from reviewlab.operators import features as fe
+    rows = spark.createDataFrame([(i, f"d{i % 3}", None if i % 5 == 0 else f"c{i % 4}", float(i), "good " * i) for i in range(40)],
+                                 "id long, drugName string, condition string, usefulCount double, review string")
+    out = fe.feature_engineering(rows, categorical=("drugName", "condition"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {(r.id % 3, r.drugName) for r in out.collect()} == {(0, 0), (1, 1), (2, 2)}
