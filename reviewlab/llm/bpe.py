@@ -214,8 +214,23 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids binary, decoded string").withColumnRenamed("id", id_col)
 
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(``id_col``, ids, decoded): ``encode`` and ``decode`` of each text by one worker a task, which holds one vocabulary."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with kept(("bpe", path), lambda: Bpe(path)) as bpe:
+            for batch in batches:
+                for at in range(0, len(batch), 512):
+                    part = batch.slice(at, 512)
+                    ids = [bpe.encode(t) if t else b"" for t in part.column(1).to_pylist()]
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array([bpe.decode(x) for x in ids], pa.string())],
+                                                     names=["id", "ids", "decoded"])
+
+    rows = in_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids binary, decoded string").withColumnRenamed("id", id_col)
+
+
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: n_tokens and the SHA-256 of its ids and of the text decoded from them."""
-    return decode(encode(docs, path, id_col, text_col), path, id_col).select(
+    return round_trip(docs, path, id_col, text_col).select(
         F.col(id_col), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

@@ -61,3 +61,13 @@ def test_forgetting_changes_nothing(monkeypatch, library):
     own = bpe.Bpe(PATH)
     text = "some words, and some more words; and some. " * 5
     assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_digests_come_from_one_worker_a_task(spark):
+    import public_tokenizers
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = frame(spark, [(1, "Some text, twice. Some text"), (2, None), (3, ""), (4, "\u00e9\u00e8 \u4e2d<|endoftext|> x")])
+    out = bpe.digests(docs, path)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    both = bpe.decode(bpe.encode(docs, path), path).collect()
+    assert {tuple(r) for r in bpe.round_trip(docs, path).collect()} == {tuple(r) for r in both} and len(both) == 4
