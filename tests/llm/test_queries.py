@@ -46,7 +46,7 @@ def test_contract_columns_and_one_row_each(spark, name):
 @pytest.mark.parametrize("name", ORACLE)
 def test_queries_match_duckdb(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     want = con.execute(ORACLE[name])
     columns = [c[0] for c in want.description]
