@@ -72,10 +72,11 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _side(rows: DataFrame, id_col: str, vec: str, apart: str | None) -> DataFrame:
+def _side(rows: DataFrame, id_col: str, vec: str, apart: str | None, name: str) -> DataFrame:
+    """Valid (id, tag, v) rows of a written table: a filter on vectors that are still expressions would compute them anew for each of its terms."""
     tag = F.col(apart).cast("bigint") if apart else F.lit(0).cast("bigint")
-    return valid(rows.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(tag, F.lit(-1).cast("bigint")).alias("tag"),
-                             F.col(vec).cast("array<double>").alias("v")))
+    return valid(stash(rows.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(tag, F.lit(-1).cast("bigint")).alias("tag"),
+                                   F.col(vec).cast("array<double>").alias("v")), name))
 
 
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id: str = "id",
@@ -84,21 +85,22 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id
     """(qid, rid, dist, rank) for the k nearest refs of every query row;
     ties in distance go to the smaller ref id.  ``apart`` names a column of few whole numbers (folds, say):
     a query's neighbours are then rows of other values (null counts as one value)."""
-    r = _side(refs, r_id, r_vec, apart)
+    r = _side(refs, r_id, r_vec, apart, "knn-refs")
     first = r.select("id", "v").orderBy("id").limit(1).collect()
     spark = queries.sparkSession
     if not first:
         return spark.createDataFrame([], f"{_FOUND}, rank int")
     size = len(first[0].v)
-    r = stash(r.where(F.size("v") == size), "knn-refs")
-    q = _side(queries, q_id, q_vec, apart).where(F.size("v") == size)
+    r = r.where(F.size("v") == size)
+    same = queries is refs and (q_id, q_vec) == (r_id, r_vec)
+    q = r if same else _side(queries, q_id, q_vec, apart, "knn-queries").where(F.size("v") == size)
     parts = fit(r, metric, block_rows, "tag" if apart else None)
     placed = with_parts(r, parts, ("tag",))
     kernel = _nearest(k, exclude_self, apart is not None)
     q = q.withColumn("bound", F.lit(float("inf")))
     if len(parts.centres) == 1:
         return _ranked(visit(q, placed, parts, kernel, _FOUND, merge=_closest(k)), k)
-    placed, q = deal(placed, parts), stash(q, "knn-queries")
+    placed = deal(placed, parts)
 
     def own(rows: Rows, away: np.ndarray, home: np.ndarray) -> np.ndarray:
         return np.arange(away.shape[1])[None, :] == home[:, None]
@@ -122,12 +124,12 @@ def radius_join(queries: DataFrame, refs: DataFrame, radius: float, q_id: str =
                 q_vec: str = "v", r_vec: str = "v", metric: str = "euclidean",
                 block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(qid, rid, dist) for every pair within ``radius`` (self pairs included)."""
-    r = _side(refs, r_id, r_vec, None)
+    r = _side(refs, r_id, r_vec, None, "radius-refs")
     first = r.select("id", "v").orderBy("id").limit(1).collect()
     if not first:
         return queries.sparkSession.createDataFrame([], _FOUND)
     size = len(first[0].v)
-    r = stash(r.where(F.size("v") == size), "radius-refs")
+    r = r.where(F.size("v") == size)
     parts = fit(r, metric, block_rows)
     limit = float(radius)
 
@@ -137,7 +139,7 @@ def radius_join(queries: DataFrame, refs: DataFrame, radius: float, q_id: str =
             return pa.RecordBatch.from_arrays([pa.array(q.id[i]), pa.array(block.rows.id[j]), pa.array(d)], names=["qid", "rid", "dist"])
         return meet
 
-    q = _side(queries, q_id, q_vec, None).where(F.size("v") == size).withColumn("bound", F.lit(limit))
+    q = _side(queries, q_id, q_vec, None, "radius-queries").where(F.size("v") == size).withColumn("bound", F.lit(limit))
     return visit(q, with_parts(r, parts, ("tag",)), parts, kernel, _FOUND)
 
 

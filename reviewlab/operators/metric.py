@@ -182,7 +182,9 @@ class Partition:
         """(row, part) lower bounds of a row's distance to anything in a part, from its distances to all centres."""
         bound = away - self.radius[None, :]
         if self.metric == "euclidean" and len(self.centres) > 1:
-            between = distances(self.centres, self.centres, self.metric)[home]
+            # only from the centres that these rows belong to: all of them against all would cost centres x centres for each batch
+            own_parts, of = np.unique(home, return_inverse=True)
+            between = distances(self.centres[own_parts], self.centres, self.metric)[of]
             own = away[np.arange(len(away)), home][:, None]
             with np.errstate(divide="ignore", invalid="ignore"):
                 plane = (away * away - own * own) / (2 * between)
@@ -193,16 +195,25 @@ class Partition:
     def most(self, away: np.ndarray, tags: np.ndarray, k: int) -> np.ndarray:
         """Per row a distance within which at least ``k`` rows of other tags (any, without tag counts) surely lie."""
         far = away + self.radius[None, :]
-        order = np.argsort(far, axis=1)
         counts = np.broadcast_to(self.counts, far.shape)
         if self.tag_counts:
+            names, of = np.unique(tags, return_inverse=True)
             none = np.zeros_like(self.counts)
-            counts = counts - np.stack([self.tag_counts.get(int(t), none) for t in tags])
-        upto = np.cumsum(np.take_along_axis(counts, order, 1), axis=1)
-        enough = upto >= k
-        at = np.where(enough.any(axis=1), enough.argmax(axis=1), far.shape[1] - 1)
-        bound = np.take_along_axis(far, np.take_along_axis(order, at[:, None], 1), 1)[:, 0]
-        return np.where(enough.any(axis=1), bound * (1 + SLACK), np.inf)
+            counts = np.stack([self.counts - self.tag_counts.get(int(t), none) for t in names])[of]
+        out = np.full(len(far), np.inf)
+        # the nearest parts mostly hold enough rows; the others are sorted only where they don't
+        left, first = np.arange(len(far)), min(64, far.shape[1])
+        while len(left):
+            own, of_own = far[left], counts[left]
+            order = np.argpartition(own, first - 1, axis=1)[:, :first] if first < far.shape[1] else np.broadcast_to(np.arange(first), own.shape)
+            order = np.take_along_axis(order, np.argsort(np.take_along_axis(own, order, 1), axis=1), 1)
+            enough = np.cumsum(np.take_along_axis(of_own, order, 1), axis=1) >= k
+            some = enough.any(axis=1)
+            at = np.take_along_axis(order, enough.argmax(axis=1)[:, None], 1)
+            out[left[some]] = np.take_along_axis(own, at, 1)[some, 0] * (1 + SLACK)
+            left = left[~some] if first < far.shape[1] else left[:0]
+            first = far.shape[1]
+        return out
 
 
 def fit(points: DataFrame, metric: str = "euclidean", block_rows: int = BLOCK_ROWS, tag: str | None = None) -> Partition:

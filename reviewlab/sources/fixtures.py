@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.session import ensure_parallelism
+from reviewlab.session import ensure_parallelism, stash
 from reviewlab.sources.io import read_table
 
 HELPFUL_TEXT = "3 users found this comment helpful."
@@ -122,14 +122,17 @@ def split_bucket_sql(id_col: str = "id") -> str:
 
 
 def features_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents as z-scored features (word_count, upper_count, useful) + label."""
+    """Labelled documents as z-scored features (word_count, upper_count, useful) + label.
+
+    Texts are counted once and the counts written: whoever reads the features would otherwise split all texts again.
+    """
     from reviewlab.functions.text import upper_word_count, word_count
     from reviewlab.operators.features import standardize
     d = ensure_parallelism(labelled_docs(spark, sf_dir), keys=["doc_id"])
     f = d.select(F.col("doc_id").alias("id"), word_count(F.col("text")).alias("word_count"),
                  upper_word_count(F.col("text")).alias("upper_count"),
                  F.col("n_chars").cast("double").alias("useful"), F.col("quality").cast("int").alias("label"))
-    return standardize(f, ["word_count", "upper_count", "useful"], ddof=1)
+    return standardize(stash(f, "doc-features"), ["word_count", "upper_count", "useful"], ddof=1)
 
 
 def features_doc_sql() -> str:

@@ -109,3 +109,46 @@ def test_distances_of_copies_are_zero_far_from_the_mean():
     v = np.repeat(np.random.default_rng(11).normal(size=(4, 6)) * 1e4, 5, axis=0)
     got = metric.Block(metric.Rows(*(np.arange(20),), v, *(np.zeros(20) for _ in range(3))), "euclidean").apart(v)
     assert np.allclose(got, metric.distances(v, v, "euclidean"), atol=1e-7) and (got[0, :5] == 0).all()
+
+
+def test_bounds_cost_rows_times_centres(monkeypatch):
+    rng = np.random.default_rng(11)
+    parts = metric.Partition("euclidean", rng.normal(size=(300, 3)), rng.uniform(0, 0.2, 300), rng.integers(0, 4, 300), 100)
+    v = rng.normal(size=(9, 3))
+    away = parts.to_centres(v)
+    home, met = away.argmin(axis=1), []
+    between = metric.distances(parts.centres, parts.centres, "euclidean")[home]
+    plain = metric.distances
+    monkeypatch.setattr(metric, "distances", lambda a, b, how: met.append(len(a) * len(b)) or plain(a, b, how))
+    got = parts.least(away, home)
+    assert sum(met) <= 9 * 300
+    with np.errstate(divide="ignore", invalid="ignore"):
+        plane = (away ** 2 - away[np.arange(9), home][:, None] ** 2) / (2 * between)
+    want = np.maximum(away - parts.radius, np.where(between > 0, plane, 0.0)) - metric.SLACK * (1 + away)
+    assert np.array_equal(got, np.maximum(want, 0.0))
+
+
+@pytest.mark.parametrize("k", [1, 5, 200, 10_000])
+@pytest.mark.parametrize("n", [3, 64, 300])
+def test_distance_within_which_enough_rows_lie(n, k):
+    rng = np.random.default_rng(n)
+    parts = metric.Partition("manhattan", rng.normal(size=(n, 2)), rng.uniform(0, 0.2, n), rng.integers(0, 4, n), 100)
+    parts.tag_counts = {1: np.minimum(parts.counts, 2), 2: parts.counts * (np.arange(n) % 2)}
+    away, tags = parts.to_centres(rng.normal(size=(7, 2))), np.array([1, 2, 3, 1, 2, 1, 3])
+    want = []
+    for row, tag in zip(away + parts.radius, tags.tolist()):
+        held = np.cumsum((parts.counts - parts.tag_counts.get(tag, 0))[np.argsort(row, kind="stable")])
+        want.append(np.sort(row)[(held >= k).argmax()] * (1 + metric.SLACK) if held[-1] >= k else np.inf)
+    assert np.array_equal(parts.most(away, tags, k), want)
+
+
+def test_vectors_are_computed_once(spark):
+    counted = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        counted.add(1)
+        return float(x)
+    slow = F.udf(seen, "double")
+    rows = spark.range(50).select("id", F.array(slow("id"), F.lit(0.0)).alias("v"))
+    assert knn.knn_join(rows, rows, 1, exclude_self=True, block_rows=10).count() == 50
+    assert counted.value == 50

@@ -265,3 +265,27 @@ def test_codes_and_flags_leave_rows_where_they_are(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert {(r.id % 3, r.drugName) for r in out.collect()} == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_null_rows_are_dropped_before_texts_are_cleaned(spark):
+    import re
+    from reviewlab.operators import clean as cl
+    rows = spark.createDataFrame([(1, "D.", "Pain", "It is GOOD", 1, 2.0), (2, "D.", None, "for pain again", 1, 2.0), (3, "D.", "Pain", "x", 1, float("nan")),
+                                  (4, None, "Pain", "x", 1, 1.0), (5, "D.", "Pain", None, 1, 1.0), (6, "D.", "Pain", "x", None, 1.0), (7, "E.", None, "y", 1, 1.0)],
+                                 "id long, drugName string, condition string, review string, rating int, usefulCount double")
+    out = cl.clean_data(rows)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"atleastnnonnulls\([^)]*translate", plan)
+    old = cl.drop_null_rows(cl.impute_conditions(rows)[0])
+    assert sorted(out.collect()) == sorted(old.collect()) and {r.id for r in out.collect()} == {1, 2}
+
+
+def test_texts_are_counted_once_for_all_readers_of_the_features(spark, tmp_path):
+    from reviewlab.sources.fixtures import features_doc
+    spark.createDataFrame([(i, "A word " * i, "en", "web", 7 * i) for i in range(4)], "doc_id long, text string, lang string, source string, n_chars int"
+                          ).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = features_doc(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "rlike" not in plan.lower()
+    assert found.orderBy("id").first().word_count < 0 < found.orderBy(F.desc("id")).first().upper_count
