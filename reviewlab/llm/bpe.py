@@ -8,7 +8,7 @@ queues the two new pairs; entries whose pair has changed meanwhile are stale and
 skipped.
 
 Pieces repeat, so a worker keeps what it has encoded while a stage runs: ``PIECES`` of
-either kind at most, after which it starts again.  A space after a non-space always starts a new
+either kind at most, of which the half met longest ago goes first.  A space after a non-space always starts a new
 piece, so what stands between spaces is looked up as a whole first.
 
 Defined results: null and empty texts have no ids; special tokens' strings in a
@@ -21,7 +21,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from reviewlab.llm.storage import in_batches
 from reviewlab.llm.workercache import kept
 
-PIECES = 600_000
+PIECES = 400_000
 #: Fixed value: how byte-level BPE cuts text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -45,6 +45,26 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+class Known(dict):
+    """Ids by piece: those met since the dictionary was last half full, and in ``older`` those before them."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict[str, bytes] = {}
+
+    def keep(self, key: str, make: Callable[[], bytes]) -> bytes:
+        """The ids of a key that isn't among the newer ones."""
+        ids = self.older.get(key)
+        if ids is None:
+            ids = make()
+        if len(key) <= 64:
+            if len(self) >= PIECES // 2:
+                self.older = dict(self)
+                self.clear()
+            self[key] = ids
+        return ids
+
+
 class Bpe:
     """Vocabulary, merges and special tokens of a tokenizer file."""
 
@@ -73,8 +93,7 @@ class Bpe:
         self._apart = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self._space_run = re.compile(r"\s ")
         #: ids of pieces that start with a space, by what follows it, and of the other pieces
-        self._words: dict[str, bytes] = {}
-        self._others: dict[str, bytes] = {}
+        self._words, self._others = Known(), Known()
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one piece."""
@@ -132,19 +151,11 @@ class Bpe:
                 out.append(self._word(piece[1:], piece) if ids is None else ids)
             else:
                 ids = self._others.get(piece)
-                out.append(self._keep(self._others, piece, self._ids(piece)) if ids is None else ids)
+                out.append(self._others.keep(piece, lambda: self._ids(piece)) if ids is None else ids)
         return b"".join(out)
 
-    @staticmethod
-    def _keep(known: dict[str, bytes], key: str, ids: bytes) -> bytes:
-        if len(key) <= 64:
-            if len(known) >= PIECES:
-                known.clear()
-            known[key] = ids
-        return ids
-
     def _word(self, word: str, piece: str) -> bytes:
-        return self._keep(self._words, word, self._ids(piece))
+        return self._words.keep(word, lambda: self._ids(piece))
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a space and what stands before the next one."""

@@ -63,6 +63,16 @@ def test_forgetting_changes_nothing(monkeypatch, library):
     assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_a_full_memory_keeps_what_is_still_met(monkeypatch):
+    monkeypatch.setattr(bpe, "PIECES", 4)
+    own, asked = bpe.Bpe(PATH), []
+    merge = own.merge
+    monkeypatch.setattr(own, "merge", lambda piece: asked.append(piece) or merge(piece))
+    own.encode("".join(f" common {x}" for x in ("one", "two", "three", "four", "five", "six", "seven")))
+    assert asked.count(b" common") == 1
+    assert len(own._words) + len(own._words.older) <= 4
+
+
 def test_digests_come_from_one_worker_a_task(spark):
     import public_tokenizers
     path = public_tokenizers.path("byte_bpe_50k.json")
