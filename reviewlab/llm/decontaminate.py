@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from reviewlab.llm.storage import in_batches, stash
 from reviewlab.llm.textkernel import ALNUM, SortedHashes, Words, mix64, rolling, slices
+from reviewlab.llm.workercache import lean
 
 K = 5
 RADIUS, BLOCKS = 15, 8
@@ -190,7 +191,7 @@ def _block(c: str, j) -> str:
 
 def _matches(docs: DataFrame, items: DataFrame, shared, threshold: float, doc_id: str, item_id: str) -> DataFrame:
     """All verified (document, item, window) rows of one block of items."""
-    windows = docs.mapInArrow(_windows(shared, threshold), _WINDOW.format(id=doc_id))
+    windows = docs.mapInArrow(lean(_windows(shared, threshold)), _WINDOW.format(id=doc_id))
     near = ["0", *(str(1 << j) for j in range(8))]
     keyed = items.select("*", F.explode(F.expr("sequence(0, 7)")).alias("block"))
     value = "shiftrightunsigned({}, block * 8) & 255L"
@@ -203,7 +204,7 @@ def _matches(docs: DataFrame, items: DataFrame, shared, threshold: float, doc_id
              .withColumn("hamming", F.expr("bit_count(simhash ^ item_hash)"))
              .where(f"hamming <= {RADIUS} AND block = {first}"))  # a pair that shares blocks counts at the first only
     pairs = pairs.select("doc", "item_row", "item_id", "first_word", "size", "hamming", "shingles", "weights", "item_shingles", "item_weights")
-    return pairs.mapInArrow(_verify(threshold), f"doc struct<id:{doc_id},fp:long>, item_row long, item_id {item_id}, "
+    return pairs.mapInArrow(lean(_verify(threshold)), f"doc struct<id:{doc_id},fp:long>, item_row long, item_id {item_id}, "
                                                 "first_word int, size int, hamming int, similarity double")
 
 
@@ -217,7 +218,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     item_id = benchmark.schema[item_col].dataType.simpleString()
     items = stash(benchmark.select(F.monotonically_increasing_id().alias("item_row"), F.col(item_col).alias("item_id"),
                                    F.col(item_text_col).alias("text"))
-                  .mapInArrow(_describe, _ITEM.format(id=item_id)), "leak-items")
+                  .mapInArrow(lean(_describe), _ITEM.format(id=item_id)), "leak-items")
     # blocks of items by running size, so that one block's shingles stay under the bound
     total = items.agg(F.sum(F.size("shingles"))).first()[0] or 0
     n_blocks = -(-total // block_shingles)
