@@ -55,3 +55,20 @@ def test_knn_classifier(spark):
     rows = scored.collect()
     assert len(rows) == 60 and 1 <= k <= 30 and (metric, weights) in {(r.metric, r.weights) for r in table.collect()}
     assert table.count() == 20
+
+
+def test_preparation_writes_texts_once(spark, monkeypatch):
+    from reviewlab import session
+    from reviewlab.operators import balance
+    from reviewlab.plans import workflows
+    from reviewlab.sources.fixtures import reviews_doc
+    from tests.conftest import SMALL
+    texts = []
+    real = type(spark.range(0)).checkpoint
+    monkeypatch.setattr(type(spark.range(0)), "checkpoint", lambda self, *a, **k: texts.append(self.columns) or real(self, *a, **k))
+    monkeypatch.setattr(workflows, "stash", lambda df, name: texts.append(df.columns) or session.stash(df, name), raising=False)
+    monkeypatch.setattr(workflows, "remove_outliers", lambda df, *a: df)
+    monkeypatch.setattr(balance, "balance", lambda df, features, label, k: df.select("id", *features, label))
+    train, test, report = workflows.prepare(reviews_doc(spark, SMALL), select=False)
+    assert sum("review" in columns for columns in texts) == 1
+    assert train.columns == test.columns == ["id", *workflows.FEATURES, "rating"] and train.count() and set(report) == {"vif", "high_vif", "correlation", "covariance"}
